@@ -231,23 +231,44 @@ FOREIGN_KEYS = (
     ("fact_aqi_hourly", "hour_key", "dim_hour", "hour_key"),
 )
 
-ETL_RUNS = T.StructType.fromDDL(
-    "etl_run_id bigint, run_type string, status string, started_at timestamp, "
-    "finished_at timestamp, rows_inserted bigint, rows_updated bigint, rows_skipped bigint, "
-    "error_summary string"
+_CONTEXT = T.MapType(T.StringType(), T.StringType())
+ETL_RUNS = _fields(
+    ("etl_run_id", T.LongType()),
+    ("run_type", T.StringType()),
+    ("status", T.StringType()),
+    ("started_at", T.TimestampType()),
+    ("finished_at", T.TimestampType()),
+    ("rows_inserted", T.LongType()),
+    ("rows_updated", T.LongType()),
+    ("rows_skipped", T.LongType()),
+    ("error_summary", T.StringType()),
 )
-ETL_LOGS = T.StructType.fromDDL(
-    "etl_run_id bigint, level string, event_name string, message string, "
-    "context map<string,string>, created_at timestamp"
+ETL_LOGS = _fields(
+    ("etl_run_id", T.LongType()),
+    ("level", T.StringType()),
+    ("event_name", T.StringType()),
+    ("message", T.StringType()),
+    ("context", _CONTEXT),
+    ("created_at", T.TimestampType()),
 )
-VALIDATION_ERRORS = T.StructType.fromDDL(
-    "etl_run_id bigint, source_table string, district_id int, field_name string, "
-    "invalid_value string, reason string, severity string, created_at timestamp"
+VALIDATION_ERRORS = _fields(
+    ("etl_run_id", T.LongType()),
+    ("source_table", T.StringType()),
+    ("district_id", T.IntegerType()),
+    ("field_name", T.StringType()),
+    ("invalid_value", T.StringType()),
+    ("reason", T.StringType()),
+    ("severity", T.StringType()),
+    ("created_at", T.TimestampType()),
 )
 # Declared for completeness; nothing writes it.
-API_REQUESTS = T.StructType.fromDDL(
-    "endpoint string, method string, status_code int, latency_ms double, "
-    "request_time timestamp, context map<string,string>"
+API_REQUESTS = _fields(
+    ("endpoint", T.StringType()),
+    ("method", T.StringType()),
+    ("status_code", T.IntegerType()),
+    ("latency_ms", T.DoubleType()),
+    ("request_time", T.TimestampType()),
+    ("context", _CONTEXT),
 )
 MONITORING_TABLES = {
     "etl_runs": ETL_RUNS,
