@@ -57,16 +57,11 @@ AQI = Kind("aqi-hourly", "hourly", AQI_MEASURES, R.AQI_RULES, FACT_AQI)
 KINDS = {kind.name: kind for kind in (DAILY, HOURLY, AQI)}
 
 
-def unpack_documents(landing: DataFrame, kind: Kind) -> DataFrame:
-    """One row per (document, district) with the district's series.
-
-    A lone object counts as an array of one. A document that is not JSON, or whose element
-    count differs from its district count, yields one row per district with ``problem`` set
-    and no series; the rest of the run is unaffected.
-    """
-    elements = F.from_json("body", kind.document_schema)
+def _checked(landing: DataFrame, kind: Kind) -> DataFrame:
+    """Parse each body once and note why a document cannot be used, if so."""
     parsed = landing.select(
-        "doc_id", "feed", "district_ids", "start_date", "end_date", elements.alias("elements")
+        "doc_id", "feed", "district_ids", "start_date", "end_date",
+        F.from_json("body", kind.document_schema).alias("elements"),
     )
     problem = F.when(F.col("elements").isNull(), F.lit("document is not valid JSON")).when(
         F.size("elements") != F.size("district_ids"),
@@ -76,14 +71,30 @@ def unpack_documents(landing: DataFrame, kind: Kind) -> DataFrame:
             F.lit(" districts"),
         ),
     )
-    paired = F.arrays_zip(
-        F.col("district_ids").alias("district_id"),
-        F.when(F.col("problem").isNull(), F.col("elements"))
-        .otherwise(F.array().cast(kind.document_schema))
-        .alias("element"),
-    )
+    return parsed.withColumn("problem", problem)
+
+
+def unpack_documents(
+    landing: DataFrame, kind: Kind, *, with_problems: bool = True
+) -> DataFrame:
+    """One row per (document, district) with the district's series.
+
+    A lone object counts as an array of one. A document that is not JSON, or whose element
+    count differs from its district count, yields one row per district with ``problem`` set
+    and no series, or no rows if ``with_problems`` is off; other documents are unaffected.
+    The choice is made inside the exploded expression, because a filter on ``problem`` would
+    be pushed below the parse and repeat it.
+    """
+    fine = F.col("problem").isNull()
+    ids = F.col("district_ids").alias("district_id")
+    if with_problems:
+        nothing = F.array().cast(kind.document_schema)
+        elements = F.when(fine, F.col("elements")).otherwise(nothing)
+        paired = F.arrays_zip(ids, elements.alias("element"))
+    else:
+        paired = F.when(fine, F.arrays_zip(ids, F.col("elements").alias("element")))
     return (
-        parsed.withColumn("problem", problem)
+        _checked(landing, kind)
         .select(
             "doc_id", "feed", "start_date", "end_date", "problem",
             (F.size("district_ids") > 1).alias("is_batch"),
@@ -109,10 +120,13 @@ def unpivot(elements: DataFrame, kind: Kind) -> DataFrame:
         *[F.coalesce(F.col(f"series.{name}"), empty).alias(name) for name in names]
     )
     steps = F.greatest(F.coalesce(F.size("series.time"), F.lit(0)), F.lit(0))
-    rows = elements.select(
+    # ``steps`` is taken before exploding, so that no array is carried onto the rows.
+    rows = elements.withColumn("steps", steps).select(
         *[c for c in elements.columns if c != "series"],
-        steps.alias("steps"),
-        F.inline_outer(F.slice(padded, F.lit(1), steps)).alias("time_text", *kind.measures),
+        "steps",
+        F.inline_outer(F.slice(padded, F.lit(1), F.col("steps"))).alias(
+            "time_text", *kind.measures
+        ),
     )
     typed = [
         F.col(m).cast("double").cast("int").alias(m)
@@ -151,15 +165,14 @@ def observations(rows: DataFrame) -> DataFrame:
 
 def parse_payloads(landing: DataFrame, kind: Kind) -> DataFrame:
     """Landing rows to keyed observation rows; documents with a problem are left out."""
-    good = unpack_documents(landing, kind).where(F.col("problem").isNull())
+    good = unpack_documents(landing, kind, with_problems=False)
     return observations(with_keys(unpivot(good, kind), kind))
 
 
 def document_problems(landing: DataFrame, kind: Kind) -> DataFrame:
-    return (
-        unpack_documents(landing, kind)
-        .where(F.col("problem").isNotNull())
-        .select("doc_id", "feed", "district_id", "problem")
+    affected = F.when(F.col("problem").isNotNull(), F.col("district_ids"))
+    return _checked(landing, kind).select(
+        "doc_id", "feed", F.explode(affected).alias("district_id"), "problem"
     )
 
 

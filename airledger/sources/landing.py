@@ -28,8 +28,7 @@ def read_landing_files(spark: SparkSession, root: str) -> DataFrame:
         spark.read.schema(
             "value string, feed string, start_date date, end_date date, district_ids string"
         )
-        .option("wholetext", "true")
-        .text(root)
+        .text(root, wholetext=True)
     )
     return files.select(
         F.col("_metadata.file_path").alias("doc_id"),
