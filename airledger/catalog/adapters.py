@@ -17,13 +17,13 @@ from airledger.functions.temporal import (
     date_key,
     instant_of_wall_clock,
     local_wall_clock,
-    month_key,
     start_of_hour,
 )
 from airledger.operators.calendar import calendar_between
-from airledger.operators.hours import assign_hour_keys, attach_hour_key, distinct_hours
+from airledger.operators.hours import assign_hour_keys, attach_hour_key
 from airledger.operators.merge import latest_per_key
 from airledger.schemas import DIM_HOUR
+from airledger.session import Staging
 
 AQI_EVENTS = ("click", "view")
 DISTRICTS = 25
@@ -110,42 +110,64 @@ def event_hours(spark: SparkSession, sf: str, start: date | None = None) -> Data
     """Distinct hours of the events, reading their time column only."""
     events = _between(source(spark, sf, "events"), "ts", start, None)
     hours = events.select(start_of_hour(F.col("ts")).alias("hour")).distinct()
-    return distinct_hours(hours.select(instant_of_wall_clock(F.col("hour")).alias("observed_at")))
+    day = F.col("hour").cast("date")
+    return hours.select(
+        date_key(day).alias("date_key"),
+        day.alias("observed_date"),
+        instant_of_wall_clock(F.col("hour")).alias("observed_at"),
+    )
 
 
 def empty_hours(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], DIM_HOUR.stored)
 
 
-def dim_hour(spark: SparkSession, sf: str) -> DataFrame:
-    return assign_hour_keys(event_hours(spark, sf), empty_hours(spark))
-
-
-def hourly_fact(
-    spark: SparkSession, sf: str, start: date | None = None, end: date | None = None
-) -> DataFrame:
-    rows = attach_hour_key(hourly_rows(spark, sf, start, end), dim_hour(spark, sf))
-    return rows.drop("observed_at")
-
-
-def aqi_fact(
-    spark: SparkSession, sf: str, start: date | None = None, end: date | None = None
-) -> DataFrame:
-    rows = attach_hour_key(aqi_rows(spark, sf, start, end), dim_hour(spark, sf))
-    return rows.drop("observed_at")
-
-
-def dim_date(spark: SparkSession, sf: str) -> DataFrame:
-    """Calendar over the days the events span."""
-    day = F.col("ts").cast("date")
-    bounds = source(spark, sf, "events").agg(
-        F.min(day).alias("start_date"), F.max(day).alias("end_date")
-    )
-    return calendar_between(bounds)
-
-
-def with_month(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("month_key", month_key(F.col("observed_date")))
+class Star:
+    """The derived star schema for one query.
+
+    As in a warehouse, the hour dimension is a stored table: it is derived once, written to
+    the shared folder, and joined by its known size from then on.
+    """
+
+    def __init__(self, spark: SparkSession, sf: str) -> None:
+        self.spark = spark
+        self.sf = sf
+        self.stage = Staging(spark, "query")
+        self._hours: DataFrame | None = None
+
+    @property
+    def hours(self) -> DataFrame:
+        if self._hours is None:
+            derived = event_hours(self.spark, self.sf)
+            self._hours = self.stage.put(
+                assign_hour_keys(derived, empty_hours(self.spark)), "dim_hour"
+            )
+        return self._hours
+
+    @property
+    def districts(self) -> DataFrame:
+        return districts(self.spark, self.sf)
+
+    @property
+    def dates(self) -> DataFrame:
+        """Calendar over the days the hour dimension spans."""
+        return calendar_between(
+            self.hours.agg(
+                F.min("observed_date").alias("start_date"),
+                F.max("observed_date").alias("end_date"),
+            )
+        )
+
+    def daily(self, start: date | None = None, end: date | None = None) -> DataFrame:
+        return daily_fact(self.spark, self.sf, start, end)
+
+    def hourly(self, start: date | None = None, end: date | None = None) -> DataFrame:
+        rows = hourly_rows(self.spark, self.sf, start, end)
+        return attach_hour_key(rows, self.hours).drop("observed_at")
+
+    def aqi(self, start: date | None = None, end: date | None = None) -> DataFrame:
+        rows = aqi_rows(self.spark, self.sf, start, end)
+        return attach_hour_key(rows, self.hours).drop("observed_at")
 
 
 def shown(df: DataFrame) -> DataFrame:

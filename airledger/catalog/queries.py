@@ -31,7 +31,7 @@ from airledger.schemas import (
     TABLE_SPECS,
     TableSpec,
 )
-from airledger.session import fresh_folder
+from airledger.session import Staging, fresh_folder
 from airledger.sinks.release_files import write_csv
 from airledger.sources.tables import conform, read_release_csv
 
@@ -99,39 +99,35 @@ def daily_statistics_no_match(spark, sf):
 @query
 def hourly_page(spark, sf):
     start, end = date(2024, 1, 5), date(2024, 1, 25)
-    page = R.hourly_range(
-        A.hourly_fact(spark, sf, start, end), A.dim_hour(spark, sf), None, start, end, 200, 50
-    )
+    star = A.Star(spark, sf)
+    page = R.hourly_range(star.hourly(start, end), star.hours, None, start, end, 200, 50)
     return A.shown(page)
 
 
 @query
 def hourly_page_district(spark, sf):
-    page = R.hourly_range(A.hourly_fact(spark, sf), A.dim_hour(spark, sf), district_id=4)
-    return A.shown(page)
+    star = A.Star(spark, sf)
+    return A.shown(R.hourly_range(star.hourly(), star.hours, district_id=4))
 
 
 @query
 def aqi_page(spark, sf):
     start = date(2024, 1, 8)
-    page = R.hourly_range(
-        A.aqi_fact(spark, sf, start), A.dim_hour(spark, sf), None, start, None, 1000, 10
-    )
-    return A.shown(page)
+    star = A.Star(spark, sf)
+    return A.shown(R.hourly_range(star.aqi(start), star.hours, None, start, None, 1000, 10))
 
 
 @query
 def hourly_deep_page(spark, sf):
-    rows = R.with_hours(A.hourly_fact(spark, sf), A.dim_hour(spark, sf))
-    return A.shown(R.deep_page(rows, 300, 500))
+    star = A.Star(spark, sf)
+    return A.shown(R.deep_page(R.with_hours(star.hourly(), star.hours), 300, 500))
 
 
 @query
 def export_window(spark, sf):
     start, end = date(2024, 1, 10), date(2024, 1, 12)
-    return R.export_window(
-        A.hourly_fact(spark, sf, start, end), FACT_HOURLY, start, end, A.dim_hour(spark, sf)
-    )
+    star = A.Star(spark, sf)
+    return R.export_window(star.hourly(start, end), FACT_HOURLY, start, end, star.hours)
 
 
 @query
@@ -142,18 +138,14 @@ def export_window_daily(spark, sf):
 
 @query
 def star_view(spark, sf):
-    view = R.star_view(
-        A.hourly_fact(spark, sf),
-        A.dim_hour(spark, sf),
-        A.dim_date(spark, sf),
-        A.districts(spark, sf),
-    )
-    return A.shown(view)
+    star = A.Star(spark, sf)
+    return A.shown(R.star_view(star.hourly(), star.hours, star.dates, star.districts))
 
 
 @query
 def denormalised_hours(spark, sf):
-    return A.shown(H.denormalise_hours(A.aqi_fact(spark, sf), A.dim_hour(spark, sf)))
+    star = A.Star(spark, sf)
+    return A.shown(H.denormalise_hours(star.aqi(), star.hours))
 
 
 # -- districts -----------------------------------------------------------------------------
@@ -210,13 +202,16 @@ def hour_dim_build(spark, sf):
 @query
 def hour_key_assign(spark, sf):
     """The later hours are known already; the earlier ones arrive late, with larger keys."""
-    known = H.assign_hour_keys(A.event_hours(spark, sf, KNOWN_FROM), A.empty_hours(spark))
-    return A.shown(H.refresh_hours(known, A.event_hours(spark, sf)))
+    stage = Staging(spark, "query")
+    hours = stage.put(A.event_hours(spark, sf), "hours")
+    known = hours.where(F.col("observed_date") >= F.lit(KNOWN_FROM))
+    stored = stage.put(H.assign_hour_keys(known, A.empty_hours(spark)), "dim_hour")
+    return A.shown(H.refresh_hours(stored, hours))
 
 
 @query
 def hour_key_lookup(spark, sf):
-    return A.hourly_fact(spark, sf).select("district_id", "hour_key")
+    return A.Star(spark, sf).hourly().select("district_id", "hour_key")
 
 
 # -- payloads ------------------------------------------------------------------------------
@@ -401,7 +396,7 @@ def load_projection(spark, sf):
 
 @query
 def release_widen(spark, sf):
-    stored = N.load_projection(A.hourly_fact(spark, sf), FACT_HOURLY)
+    stored = N.load_projection(A.Star(spark, sf).hourly(), FACT_HOURLY)
     return N.release_form(stored, FACT_HOURLY)
 
 
@@ -441,17 +436,17 @@ def upsert_daily(spark, sf):
 
 @query
 def upsert_hourly(spark, sf):
-    current = A.hourly_fact(spark, sf, None, CURRENT_END)
-    delta = _shifted(
-        A.hourly_fact(spark, sf, DELTA_START), [r.measure for r in A.HOURLY_RECIPES]
-    )
+    star = A.Star(spark, sf)
+    current = star.hourly(None, CURRENT_END)
+    delta = _shifted(star.hourly(DELTA_START), [r.measure for r in A.HOURLY_RECIPES])
     return _upsert(current, delta, FACT_HOURLY)
 
 
 @query
 def upsert_aqi(spark, sf):
-    current = A.aqi_fact(spark, sf, None, CURRENT_END)
-    delta = _shifted(A.aqi_fact(spark, sf, DELTA_START), [r.measure for r in A.AQI_RECIPES])
+    star = A.Star(spark, sf)
+    current = star.aqi(None, CURRENT_END)
+    delta = _shifted(star.aqi(DELTA_START), [r.measure for r in A.AQI_RECIPES])
     return _upsert(current, delta, FACT_AQI)
 
 
@@ -468,10 +463,9 @@ def upsert_keep_absent(spark, sf):
 
 @query
 def merge_snapshot(spark, sf):
-    current = A.hourly_fact(spark, sf, None, CURRENT_END)
-    delta = _shifted(
-        A.hourly_fact(spark, sf, DELTA_START), [r.measure for r in A.HOURLY_RECIPES]
-    )
+    star = A.Star(spark, sf)
+    current = star.hourly(None, CURRENT_END)
+    delta = _shifted(star.hourly(DELTA_START), [r.measure for r in A.HOURLY_RECIPES])
     return N.merge_snapshot(current, delta, FACT_HOURLY)
 
 
@@ -483,8 +477,9 @@ def merge_snapshot_first(spark, sf):
 @query
 def snapshot_schema_fill(spark, sf):
     """The current snapshot predates one measure; the delta has it."""
-    current = A.hourly_fact(spark, sf, None, CURRENT_END).drop("wind_direction_10m")
-    delta = A.hourly_fact(spark, sf, DELTA_START)
+    star = A.Star(spark, sf)
+    current = star.hourly(None, CURRENT_END).drop("wind_direction_10m")
+    delta = star.hourly(DELTA_START)
     return N.merge_snapshot(conform(current, FACT_HOURLY.released), delta, FACT_HOURLY)
 
 
@@ -493,69 +488,72 @@ def snapshot_schema_fill(spark, sf):
 
 @query
 def watermarks_by_district(spark, sf):
-    return watermarks(A.hourly_fact(spark, sf, None, CURRENT_END), FACT_HOURLY)
+    return watermarks(A.Star(spark, sf).hourly(None, CURRENT_END), FACT_HOURLY)
 
 
 @query
 def watermark_dimension(spark, sf):
-    return watermarks(A.dim_hour(spark, sf), DIM_HOUR)
+    return watermarks(A.Star(spark, sf).hours, DIM_HOUR)
 
 
-def _local_districts(spark, sf) -> DataFrame:
+def _local(districts: DataFrame) -> DataFrame:
     """The target knows all districts but the last few."""
-    return A.districts(spark, sf).where(F.col("district_id") < 20)
+    return districts.where(F.col("district_id") < 20)
 
 
-def _target_rows(spark, sf) -> DataFrame:
+def _copied(source: DataFrame, hours: DataFrame) -> DataFrame:
     """The target has copied early hours, and of some districts nothing at all."""
-    copied = A.hourly_fact(spark, sf, None, DELTA_START)
-    return copied.where(F.col("district_id").between(3, 19))
+    early = hours.where(F.col("observed_date") <= F.lit(DELTA_START)).select("hour_key")
+    return source.where(F.col("district_id").between(3, 19)).join(early, "hour_key", "left_semi")
 
 
-def _hourly_delta(spark, sf) -> DataFrame:
+def _hourly_delta(star: A.Star, source: DataFrame, target: DataFrame) -> DataFrame:
+    marks = star.stage.put(watermarks(target, FACT_HOURLY), "marks")
     return sync_delta(
-        A.hourly_fact(spark, sf),
-        FACT_HOURLY,
-        watermarks(_target_rows(spark, sf), FACT_HOURLY),
-        SYNC_CUTOFF,
-        districts=_local_districts(spark, sf),
-        dim_hour=A.dim_hour(spark, sf),
+        source, FACT_HOURLY, marks, SYNC_CUTOFF,
+        districts=_local(star.districts), dim_hour=star.hours,
     )
 
 
 @query
 def sync_delta_facts(spark, sf):
-    return _hourly_delta(spark, sf)
+    star = A.Star(spark, sf)
+    source = star.hourly()
+    return _hourly_delta(star, source, _copied(source, star.hours))
 
 
 @query
 def sync_delta_daily(spark, sf):
-    target = A.daily_fact(spark, sf, None, DAILY_CURRENT_END)
+    star = A.Star(spark, sf)
+    marks = star.stage.put(watermarks(star.daily(None, DAILY_CURRENT_END), FACT_DAILY), "marks")
     return sync_delta(
-        A.daily_fact(spark, sf),
+        star.daily(),
         FACT_DAILY,
-        watermarks(target, FACT_DAILY),
+        marks,
         datetime(2000, 6, 1, tzinfo=timezone.utc),
-        districts=_local_districts(spark, sf),
+        districts=_local(star.districts),
     )
 
 
 @query
 def sync_delta_dim(spark, sf):
-    copied = A.dim_hour(spark, sf).where(F.col("observed_date") <= F.lit(DELTA_START))
+    hours = A.Star(spark, sf).hours
+    copied = hours.where(F.col("observed_date") <= F.lit(DELTA_START))
     delta = sync_delta(
-        A.dim_hour(spark, sf), DIM_HOUR, watermarks(copied, DIM_HOUR),
-        datetime(2024, 1, 12, tzinfo=timezone.utc),
+        hours, DIM_HOUR, watermarks(copied, DIM_HOUR), datetime(2024, 1, 12, tzinfo=timezone.utc)
     )
     return A.shown(delta)
 
 
 @query
 def sync_apply(spark, sf):
-    target = _shifted(_target_rows(spark, sf), [r.measure for r in A.HOURLY_RECIPES])
-    stored = conform(target, FACT_HOURLY.released)
+    """Source and target are stored, so the events are read once."""
+    star = A.Star(spark, sf)
+    source = star.stage.put(star.hourly(), "source")
+    target = _copied(source, star.hours)
+    older = _shifted(target, [r.measure for r in A.HOURLY_RECIPES])
     return fold_delta(
-        stored, _hourly_delta(spark, sf), FACT_HOURLY,
+        conform(older, FACT_HOURLY.released), _hourly_delta(star, source, target), FACT_HOURLY,
         schema=FACT_HOURLY.released, keep_absent=True,
     )
 
@@ -565,13 +563,14 @@ def sync_apply(spark, sf):
 
 def _stats(spark, sf) -> DataFrame:
     """Statistics of the six tables as a release would measure them."""
+    star = A.Star(spark, sf)
     tables = {
-        "dim_district": A.districts(spark, sf),
-        "dim_date": A.dim_date(spark, sf),
-        "dim_hour": A.dim_hour(spark, sf),
-        "fact_weather_daily": A.daily_fact(spark, sf),
-        "fact_weather_hourly": A.hourly_fact(spark, sf),
-        "fact_aqi_hourly": A.aqi_fact(spark, sf),
+        "dim_district": star.districts,
+        "dim_date": star.dates,
+        "dim_hour": star.hours,
+        "fact_weather_daily": star.daily(),
+        "fact_weather_hourly": star.hourly(),
+        "fact_aqi_hourly": star.aqi(),
     }
     stats = [N.table_stats(tables[spec.name], spec) for spec in TABLE_SPECS]
     whole = stats[0]
@@ -580,6 +579,11 @@ def _stats(spark, sf) -> DataFrame:
     return whole
 
 
+def _measured(spark, sf) -> DataFrame:
+    """The statistics measured once, as a release does before it is judged."""
+    return N.hour_range_from_dimension(Staging(spark, "query").put(_stats(spark, sf), "stats"))
+
+
 @query
 def table_stats(spark, sf):
     return _stats(spark, sf)
@@ -587,18 +591,18 @@ def table_stats(spark, sf):
 
 @query
 def release_hour_range(spark, sf):
-    return N.hour_range_from_dimension(_stats(spark, sf))
+    return _measured(spark, sf)
 
 
 @query
 def release_gate(spark, sf):
     """Orders and events end on different days, so the gate has something to report."""
-    return N.release_problems(N.hour_range_from_dimension(_stats(spark, sf)), date(2024, 1, 31))
+    return N.release_problems(_measured(spark, sf), date(2024, 1, 31))
 
 
 @query
 def release_gate_incomplete(spark, sf):
-    facts = N.hour_range_from_dimension(_stats(spark, sf)).where(F.col("name") != "dim_date")
+    facts = _measured(spark, sf).where(F.col("name") != "dim_date")
     hour_end = facts.where(F.col("name") == "dim_hour").select(F.max("max_date")).scalar()
     level = facts.withColumn("max_date", F.when(F.col("max_date").isNotNull(), hour_end))
     return N.release_problems(level, date(2030, 1, 1))
@@ -703,9 +707,5 @@ def job_duration(spark, sf):
 
 @query
 def warehouse_snapshot(spark, sf):
-    return M.warehouse_snapshot(
-        A.daily_fact(spark, sf),
-        A.hourly_fact(spark, sf),
-        A.aqi_fact(spark, sf),
-        A.dim_hour(spark, sf),
-    )
+    star = A.Star(spark, sf)
+    return M.warehouse_snapshot(star.daily(), star.hourly(), star.aqi(), star.hours)

@@ -32,7 +32,7 @@ from airledger.operators.quality import (
 )
 from airledger.operators.snapshot import load_projection
 from airledger.schemas import ANALYST, DIM_DATE, DIM_DISTRICT, DIM_HOUR
-from airledger.session import staging
+from airledger.session import Staging, staging
 from airledger.sinks.warehouse import Warehouse
 from airledger.sources.landing import documents_between, forecast_documents
 
@@ -166,7 +166,7 @@ def _load(
             )
             warehouse.append("validation_errors", errors)
         if outcome.rows_loaded:
-            _store(warehouse, valid_rows(rows, kind.rules), kind)
+            _store(warehouse, stage, valid_rows(rows, kind.rules), kind)
         return RunResult(
             run_id,
             outcome.rows_loaded,
@@ -176,13 +176,13 @@ def _load(
         )
 
 
-def _store(warehouse: Warehouse, rows: DataFrame, kind: Kind) -> None:
+def _store(warehouse: Warehouse, stage: Staging, rows: DataFrame, kind: Kind) -> None:
     require_empty(
         orphans(rows, "date_key", warehouse.table(DIM_DATE), "date_key"),
         f"{kind.spec.name} refers to days missing from {DIM_DATE.name}",
     )
     if kind.hourly:
-        hours = distinct_hours(rows)
+        hours = stage.put(distinct_hours(rows), "hours")
         warehouse.write_version(DIM_HOUR, refresh_hours(warehouse.table(DIM_HOUR), hours))
         rows = attach_hour_key(rows, warehouse.table(DIM_HOUR))
     warehouse.upsert(kind.spec, load_projection(rows, kind.spec))
