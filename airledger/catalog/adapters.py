@@ -20,7 +20,7 @@ from airledger.functions.temporal import (
     start_of_hour,
 )
 from airledger.operators.calendar import calendar_between
-from airledger.operators.hours import assign_hour_keys, attach_hour_key
+from airledger.operators.hours import assign_hour_keys
 from airledger.operators.merge import latest_per_key
 from airledger.schemas import DIM_HOUR
 from airledger.session import Staging
@@ -34,7 +34,7 @@ def source(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("long")
+    return F.rint(F.col(amount) * 100).cast("long")
 
 
 def _between(df: DataFrame, column: str, start: date | None, end: date | None) -> DataFrame:
@@ -87,22 +87,38 @@ def _events_by_hour(events: DataFrame) -> DataFrame:
 
 
 def hourly_rows(
-    spark: SparkSession, sf: str, start: date | None = None, end: date | None = None
+    spark: SparkSession,
+    sf: str,
+    start: date | None = None,
+    end: date | None = None,
+    *,
+    keep_hour: bool = False,
 ) -> DataFrame:
     """Hourly weather keyed by instant, before a surrogate key is attached."""
     events = _between(source(spark, sf, "events"), "ts", start, end)
     return _events_by_hour(events).select(
-        "district_id", "observed_at", *[r.column(F.col("cents")) for r in HOURLY_RECIPES]
+        "district_id",
+        *(["hour"] if keep_hour else []),
+        "observed_at",
+        *[r.column(F.col("cents")) for r in HOURLY_RECIPES],
     )
 
 
 def aqi_rows(
-    spark: SparkSession, sf: str, start: date | None = None, end: date | None = None
+    spark: SparkSession,
+    sf: str,
+    start: date | None = None,
+    end: date | None = None,
+    *,
+    keep_hour: bool = False,
 ) -> DataFrame:
     events = _between(source(spark, sf, "events"), "ts", start, end)
     chosen = events.where(F.col("event_type").isin(*AQI_EVENTS))
     return _events_by_hour(chosen).select(
-        "district_id", "observed_at", *[r.column(F.col("cents")) for r in AQI_RECIPES]
+        "district_id",
+        *(["hour"] if keep_hour else []),
+        "observed_at",
+        *[r.column(F.col("cents")) for r in AQI_RECIPES],
     )
 
 
@@ -161,13 +177,19 @@ class Star:
     def daily(self, start: date | None = None, end: date | None = None) -> DataFrame:
         return daily_fact(self.spark, self.sf, start, end)
 
+    def _keyed(self, rows: DataFrame) -> DataFrame:
+        """Attach the surrogate key by wall-clock hour: the zone arithmetic is then done on
+        the few dimension rows and not, as a pushed-down null check, on every event."""
+        lookup = self.hours.select(
+            local_wall_clock(F.col("observed_at")).alias("hour"), "hour_key"
+        )
+        return rows.join(lookup, "hour").drop("hour", "observed_at")
+
     def hourly(self, start: date | None = None, end: date | None = None) -> DataFrame:
-        rows = hourly_rows(self.spark, self.sf, start, end)
-        return attach_hour_key(rows, self.hours).drop("observed_at")
+        return self._keyed(hourly_rows(self.spark, self.sf, start, end, keep_hour=True))
 
     def aqi(self, start: date | None = None, end: date | None = None) -> DataFrame:
-        rows = aqi_rows(self.spark, self.sf, start, end)
-        return attach_hour_key(rows, self.hours).drop("observed_at")
+        return self._keyed(aqi_rows(self.spark, self.sf, start, end, keep_hour=True))
 
 
 def shown(df: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from airledger.operators import reads as R
 from airledger.operators import snapshot as N
 from airledger.operators.calendar import calendar_between
 from airledger.operators.merge import fold_delta, new_rows, replace_delta
-from airledger.operators.sync import sync_delta, watermarks
+from airledger.operators.sync import local_marks, sync_delta, watermarks
 from airledger.schemas import (
     DIM_DATE,
     DIM_HOUR,
@@ -120,7 +120,8 @@ def aqi_page(spark, sf):
 @query
 def hourly_deep_page(spark, sf):
     star = A.Star(spark, sf)
-    return A.shown(R.deep_page(R.with_hours(star.hourly(), star.hours), 300, 500))
+    fact = star.stage.put(star.hourly(), "fact")
+    return A.shown(R.deep_page(R.with_hours(fact, star.hours), 300, 500))
 
 
 @query
@@ -211,7 +212,10 @@ def hour_key_assign(spark, sf):
 
 @query
 def hour_key_lookup(spark, sf):
-    return A.Star(spark, sf).hourly().select("district_id", "hour_key")
+    """From instants to surrogate keys, as rows are loaded."""
+    star = A.Star(spark, sf)
+    rows = A.hourly_rows(spark, sf).select("district_id", "observed_at")
+    return H.attach_hour_key(star.stage.put(rows, "rows"), star.hours).drop("observed_at")
 
 
 # -- payloads ------------------------------------------------------------------------------
@@ -420,9 +424,10 @@ def _shifted(rows: DataFrame, measures: list[str]) -> DataFrame:
     return rows.withColumns({m: F.col(m) + 1 for m in measures if m != "weather_code"})
 
 
-def _upsert(current: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
-    stored = N.load_projection(current, spec)
-    return _as_doubles(replace_delta(stored, N.load_projection(delta, spec), spec))
+def _upsert(stage: Staging, current: DataFrame, delta: DataFrame, spec: TableSpec) -> DataFrame:
+    """A delta is stored before it is merged, because the merge reads it twice."""
+    incoming = stage.put(N.load_projection(delta, spec), "delta")
+    return _as_doubles(replace_delta(N.load_projection(current, spec), incoming, spec))
 
 
 @query
@@ -431,7 +436,7 @@ def upsert_daily(spark, sf):
     delta = _shifted(
         A.daily_fact(spark, sf, DAILY_DELTA_START), [r.measure for r in A.DAILY_RECIPES]
     )
-    return _upsert(current, delta, FACT_DAILY)
+    return _upsert(Staging(spark, "query"), current, delta, FACT_DAILY)
 
 
 @query
@@ -439,7 +444,7 @@ def upsert_hourly(spark, sf):
     star = A.Star(spark, sf)
     current = star.hourly(None, CURRENT_END)
     delta = _shifted(star.hourly(DELTA_START), [r.measure for r in A.HOURLY_RECIPES])
-    return _upsert(current, delta, FACT_HOURLY)
+    return _upsert(star.stage, current, delta, FACT_HOURLY)
 
 
 @query
@@ -447,18 +452,18 @@ def upsert_aqi(spark, sf):
     star = A.Star(spark, sf)
     current = star.aqi(None, CURRENT_END)
     delta = _shifted(star.aqi(DELTA_START), [r.measure for r in A.AQI_RECIPES])
-    return _upsert(current, delta, FACT_AQI)
+    return _upsert(star.stage, current, delta, FACT_AQI)
 
 
 @query
 def upsert_keep_absent(spark, sf):
     """A delta without some columns leaves their current values alone."""
+    stage = Staging(spark, "query")
     current = A.daily_fact(spark, sf, None, DAILY_CURRENT_END)
+    stored = stage.put(N.load_projection(current, FACT_DAILY), "current")
     delta = A.daily_fact(spark, sf, DAILY_DELTA_START).drop("rain_sum", "precipitation_sum")
-    merged = replace_delta(
-        N.load_projection(current, FACT_DAILY), delta, FACT_DAILY, keep_absent=True
-    )
-    return _as_doubles(merged)
+    incoming = stage.put(delta, "delta")
+    return _as_doubles(replace_delta(stored, incoming, FACT_DAILY, keep_absent=True))
 
 
 @query
@@ -508,30 +513,26 @@ def _copied(source: DataFrame, hours: DataFrame) -> DataFrame:
 
 
 def _hourly_delta(star: A.Star, source: DataFrame, target: DataFrame) -> DataFrame:
-    marks = star.stage.put(watermarks(target, FACT_HOURLY), "marks")
+    marks = local_marks(_local(star.districts), watermarks(target, FACT_HOURLY))
     return sync_delta(
-        source, FACT_HOURLY, marks, SYNC_CUTOFF,
-        districts=_local(star.districts), dim_hour=star.hours,
+        source, FACT_HOURLY, star.stage.put(marks, "marks"), SYNC_CUTOFF, dim_hour=star.hours
     )
 
 
 @query
 def sync_delta_facts(spark, sf):
     star = A.Star(spark, sf)
-    source = star.hourly()
+    source = star.stage.put(star.hourly(), "source")
     return _hourly_delta(star, source, _copied(source, star.hours))
 
 
 @query
 def sync_delta_daily(spark, sf):
     star = A.Star(spark, sf)
-    marks = star.stage.put(watermarks(star.daily(None, DAILY_CURRENT_END), FACT_DAILY), "marks")
+    copied = watermarks(star.daily(None, DAILY_CURRENT_END), FACT_DAILY)
+    marks = star.stage.put(local_marks(_local(star.districts), copied), "marks")
     return sync_delta(
-        star.daily(),
-        FACT_DAILY,
-        marks,
-        datetime(2000, 6, 1, tzinfo=timezone.utc),
-        districts=_local(star.districts),
+        star.daily(), FACT_DAILY, marks, datetime(2000, 6, 1, tzinfo=timezone.utc)
     )
 
 
@@ -644,6 +645,27 @@ def _run_records(spark, sf) -> DataFrame:
         F.array(*[F.lit(t) for t in M.SCHEDULED_RUN_TYPES]),
         (F.col("user_id") % 3 + 1).cast("int"),
     )
+    finished = F.timestamp_micros(
+        F.unix_micros("started_at") + F.floor(F.col("value") * 1_000_000).cast("long")
+    )
+    loaded = F.when(F.col("value") < 2, F.lit(0)).otherwise(F.floor("value")).cast("long")
+    failed = F.col("event_type") == "error"
+
+    def record(status, finished_at, inserted, skipped):
+        return F.struct(
+            status.alias("status"),
+            finished_at.alias("finished_at"),
+            inserted.alias("rows_inserted"),
+            skipped.alias("rows_skipped"),
+        )
+
+    none = F.lit(0).cast("long")
+    running = record(F.lit("running"), F.lit(None).cast("timestamp"), none, none)
+    status = F.when(failed, F.lit("failed")).otherwise(F.lit("completed"))
+    closed = record(status, finished, loaded, F.col("etl_run_id") % 7)
+    records = F.when(F.col("event_type") == "signup", F.array(running)).otherwise(
+        F.array(running, closed)
+    )
     events = A.source(spark, sf, "events").select(
         F.col("event_id").alias("etl_run_id"),
         kind.alias("run_type"),
@@ -651,23 +673,7 @@ def _run_records(spark, sf) -> DataFrame:
         "event_type",
         "value",
     )
-    running = events.select(
-        "etl_run_id", "run_type", F.lit("running").alias("status"), "started_at",
-        F.lit(None).cast("timestamp").alias("finished_at"),
-        F.lit(0).cast("long").alias("rows_inserted"), F.lit(0).cast("long").alias("rows_skipped"),
-    )
-    finished = F.timestamp_micros(
-        F.unix_micros("started_at") + F.floor(F.col("value") * 1_000_000).cast("long")
-    )
-    status = F.when(F.col("event_type") == "error", F.lit("failed")).otherwise(F.lit("completed"))
-    loaded = F.when(F.col("value") < 2, F.lit(0)).otherwise(F.floor("value"))
-    closed = events.where(F.col("event_type") != "signup").select(
-        "etl_run_id", "run_type", status.alias("status"), "started_at",
-        finished.alias("finished_at"),
-        loaded.cast("long").alias("rows_inserted"),
-        (F.col("etl_run_id") % 7).alias("rows_skipped"),
-    )
-    return running.unionByName(closed)
+    return events.select("etl_run_id", "run_type", "started_at", F.inline(records))
 
 
 def _runs(spark, sf) -> DataFrame:

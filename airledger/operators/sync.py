@@ -18,6 +18,15 @@ def watermarks(target: DataFrame, spec: TableSpec) -> DataFrame:
     return target.groupBy(spec.district_column).agg(top)
 
 
+def local_marks(districts: DataFrame, marks: DataFrame) -> DataFrame:
+    """One mark per district the target knows; -1 where it has no rows yet."""
+    return (
+        districts.select("district_id")
+        .join(marks, "district_id", "left")
+        .select("district_id", F.coalesce("last_key", F.lit(-1)).alias("last_key"))
+    )
+
+
 def _cutoff(spec: TableSpec, cutoff: datetime) -> Column:
     """Date-typed cutoff columns compare with the UTC date of the cutoff instant."""
     if cutoff.tzinfo is None:
@@ -33,15 +42,15 @@ def sync_delta(
     marks: DataFrame | None,
     cutoff: datetime,
     *,
-    districts: DataFrame | None = None,
     dim_hour: DataFrame | None = None,
     full: bool = False,
 ) -> DataFrame:
     """Source rows a target still lacks: key above its mark OR dated at/after the cutoff.
 
     ``marks`` is None for an empty target, which takes everything. Facts compare against
-    the mark of their own district (-1 for a district the target knows but has no rows of);
-    rows of districts the target does not know come in through the cutoff alone.
+    the ``local_marks`` of their own district; rows of districts the target does not know
+    come in through the cutoff alone. Hand in stored marks: their known size lets Spark
+    broadcast them, and the source is not shuffled on its few, uneven districts.
     """
     if full or spec.always_full or marks is None:
         return source
@@ -52,12 +61,8 @@ def sync_delta(
     if spec.district_column is None:
         newer = F.col(spec.key_column) > marks.select("last_key").scalar()
     else:
-        local = (
-            districts.select("district_id")
-            .join(marks, "district_id", "left")
-            .select("district_id", F.coalesce("last_key", F.lit(-1)).alias("_mark"))
-        )
-        rows = rows.join(local, "district_id", "left")
+        own = marks.select("district_id", F.col("last_key").alias("_mark"))
+        rows = rows.join(own, "district_id", "left")
         newer = F.col("_mark").isNotNull() & (F.col(spec.key_column) > F.col("_mark"))
     if spec.cutoff_column is not None:
         newer = newer | (F.col(spec.cutoff_column) >= _cutoff(spec, cutoff))

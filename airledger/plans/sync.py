@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from airledger.functions.temporal import month_key, month_of_date_key
 from airledger.operators.merge import PARTITION_COLUMN
-from airledger.operators.sync import sync_delta, watermarks
+from airledger.operators.sync import local_marks, sync_delta, watermarks
 from airledger.schemas import DIM_DATE, DIM_DISTRICT, DIM_HOUR, TABLE_SPECS, TableSpec
 from airledger.session import Staging, staging
 from airledger.sinks.warehouse import MAX_LISTED_MONTHS, Warehouse
@@ -59,20 +59,21 @@ def _sync_table(
 ) -> SyncResult:
     with staging(source.spark, "sync") as stage:
         rows = source.physical(spec)
-        marks = districts = None
+        marks = None
         if not (full or spec.always_full) and target.exists(spec):
-            # Stored first: the join below then knows how small the marks really are.
-            marks = stage.put(watermarks(target.table(spec), spec), "marks")
-            districts = target.table(DIM_DISTRICT)
+            marks = watermarks(target.table(spec), spec)
+            if spec.district_column is not None:
+                marks = local_marks(target.table(DIM_DISTRICT), marks)
+            marks = stage.put(marks, "marks")
             if spec.partitioned:
-                rows = _prune(source, spec, rows, _lowest_mark(districts, marks), cutoff)
+                lowest = marks.agg(F.min("last_key")).first()[0]
+                rows = _prune(source, spec, rows, -1 if lowest is None else lowest, cutoff)
         delta = stage.put(
             sync_delta(
                 rows,
                 spec,
                 marks,
                 cutoff,
-                districts=districts,
                 dim_hour=source.table(DIM_HOUR),
                 full=full,
             ),
@@ -84,12 +85,6 @@ def _sync_table(
         return SyncResult(spec.name, count, count)
 
 
-def _lowest_mark(districts: DataFrame, marks: DataFrame) -> int:
-    joined = districts.join(marks, "district_id", "left")
-    lowest = joined.agg(F.min(F.coalesce("last_key", F.lit(-1)))).first()[0]
-    return -1 if lowest is None else lowest
-
-
 def _prune(
     source: Warehouse, spec: TableSpec, rows: DataFrame, lowest: int, cutoff: datetime
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from airledger.operators import districts as O
 from airledger.operators import hours as H
 from airledger.operators import merge as G
 from airledger.operators import reads as R
-from airledger.operators.sync import sync_delta, watermarks
+from airledger.operators.sync import local_marks, sync_delta, watermarks
 from airledger.schemas import DIM_HOUR, FACT_DAILY, FACT_HOURLY, SPECS, TableSpec, released_type
 from airledger.sources.tables import conform
 
@@ -231,7 +231,8 @@ def test_sync_delta_uses_mark_or_cutoff(spark):
     assert rows(marks, "district_id", "last_key") == [(1, 2), (2, 3)]
 
     def keys(cutoff, **more):
-        got = sync_delta(source, FACT_DAILY, more.pop("marks", marks), cutoff, districts=local, **more)
+        known = more.pop("marks", local_marks(local, marks))
+        got = sync_delta(source, FACT_DAILY, known, cutoff, **more)
         return rows(got, "district_id", "date_key")
 
     late = datetime(2025, 1, 1, tzinfo=timezone.utc)
