@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airledger.catalog.recipes import AQI_RECIPES, DAILY_RECIPES, HOURLY_RECIPES
+from airledger.catalog.recipes import AQI_RECIPES, DAILY_RECIPES, HOURLY_RECIPES, Recipe
 from airledger.functions.temporal import (
     date_key,
     instant_of_wall_clock,
@@ -29,8 +29,23 @@ AQI_EVENTS = ("click", "view")
 DISTRICTS = 25
 
 
+# Declared, so that no job is needed to find a file's schema.
+SOURCE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def source(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
+
+
+def _measures(recipes: list[Recipe]) -> list[Column]:
+    return [F.expr(r.sql("cents")) for r in recipes]
 
 
 def cents(amount: str) -> Column:
@@ -71,7 +86,7 @@ def daily_fact(
         "district_id",
         date_key(F.col("observed_date")).alias("date_key"),
         "observed_date",
-        *[r.column(F.col("cents")) for r in DAILY_RECIPES],
+        *_measures(DAILY_RECIPES),
     )
 
 
@@ -100,7 +115,7 @@ def hourly_rows(
         "district_id",
         *(["hour"] if keep_hour else []),
         "observed_at",
-        *[r.column(F.col("cents")) for r in HOURLY_RECIPES],
+        *_measures(HOURLY_RECIPES),
     )
 
 
@@ -118,7 +133,7 @@ def aqi_rows(
         "district_id",
         *(["hour"] if keep_hour else []),
         "observed_at",
-        *[r.column(F.col("cents")) for r in AQI_RECIPES],
+        *_measures(AQI_RECIPES),
     )
 
 

@@ -2,16 +2,13 @@
 
 Each measure is ``((cents * factor) % modulus + shift) / 100``. The moduli reach beyond the
 permitted ranges, so that some rows are rejected. Integer arithmetic up to the last division
-keeps the values identical in every engine.
+keeps the values identical in every engine. The expressions are plain SQL.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from airledger.schemas import AQI_MEASURES, DAILY_MEASURES, HOURLY_MEASURES, INTEGER_MEASURES
 
 
@@ -23,16 +20,6 @@ class Recipe:
     shift: int
     null_every: int | None = None
 
-    def column(self, cents: Column) -> Column:
-        whole = (cents * self.factor) % self.modulus + self.shift
-        if self.measure in INTEGER_MEASURES:
-            value = whole.cast("int")
-        else:
-            value = whole.cast("double") / F.lit(100.0)
-        if self.null_every:
-            value = F.when(cents % self.null_every != 0, value)
-        return value.alias(self.measure)
-
     def sql(self, cents: str) -> str:
         whole = f"(({cents} * {self.factor}) % {self.modulus} + {self.shift})"
         if self.measure in INTEGER_MEASURES:

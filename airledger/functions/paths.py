@@ -10,5 +10,4 @@ _RELEASE_FILE = r"(?:^|/)v1/releases/(\d{8}T\d{6}Z)/.+"
 
 def release_id(path: Column) -> Column:
     """Release id of a file below ``v1/releases/``; null when the path is malformed."""
-    found = F.regexp_extract(path, _RELEASE_FILE, 1)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(path, _RELEASE_FILE, 1), F.lit(""))

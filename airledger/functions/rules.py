@@ -19,9 +19,8 @@ class RangeRule:
 
     def violated(self) -> Column:
         """False for null; NaN and values outside the bounds violate."""
-        value = F.col(self.field)
-        inside = value.between(F.lit(float(self.low)), F.lit(float(self.high)))
-        return value.isNotNull() & ~inside
+        inside = f"{self.field} between {self.low}D and {self.high}D"
+        return F.expr(f"{self.field} is not null and not ({inside})")
 
     def reason(self) -> str:
         return f"{self.field} must be between {self.low} and {self.high}"

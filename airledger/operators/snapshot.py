@@ -145,28 +145,33 @@ def publish_range(
     return None if target <= reached else (reached + timedelta(days=1), target)
 
 
-def deletable_releases(listing: DataFrame, active: str, keep: int = KEPT_RELEASES) -> DataFrame:
-    """Release ids that retention gives up.
+def _beyond_retention(listing: DataFrame, active: str, keep: int) -> DataFrame:
+    """Listed files with their release id, those of releases to give up only.
 
-    Of the releases up to the active one the newest ``keep`` stay, and the active one
-    always does. Newer ones (not activated yet) and malformed paths are never touched.
+    Ids sort by time, so everything older than the ``keep``-th newest id up to the active
+    one goes. Only that one id is looked up; files are not joined or grouped.
     """
     if keep < 1:
         raise ValueError("keep must be positive")
-    ids = (
-        listing.select(release_id(F.col("path")).alias("release_id"))
-        .where((F.col("release_id").isNotNull()) & (F.col("release_id") <= active))
-        .distinct()
-    )
-    newest = ids.orderBy(F.desc("release_id")).limit(keep)
-    return ids.join(newest, "release_id", "left_anti").where(F.col("release_id") != active)
+    files = listing.withColumn("release_id", release_id(F.col("path")))
+    upto = files.where(F.col("release_id") <= active).select("release_id").distinct()
+    newest = upto.orderBy(F.desc("release_id")).limit(keep)
+    oldest_kept = newest.select(F.min("release_id")).scalar()
+    return files.where((F.col("release_id") < oldest_kept) & (F.col("release_id") != active))
 
 
 def deletable_files(listing: DataFrame, active: str, keep: int = KEPT_RELEASES) -> DataFrame:
-    """Files of the releases retention gives up."""
-    return listing.withColumn("release_id", release_id(F.col("path"))).join(
-        deletable_releases(listing, active, keep), "release_id", "left_semi"
-    )
+    """Files of the releases that retention gives up.
+
+    Of the releases up to the active one the newest ``keep`` stay, and the active one
+    always does. Newer ones (not activated yet) and malformed paths are never touched.
+    """
+    return _beyond_retention(listing, active, keep)
+
+
+def deletable_releases(listing: DataFrame, active: str, keep: int = KEPT_RELEASES) -> DataFrame:
+    """Ids of the releases that retention gives up."""
+    return _beyond_retention(listing, active, keep).select("release_id").distinct()
 
 
 def release_summary(manifest: DataFrame) -> DataFrame:
