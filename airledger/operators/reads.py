@@ -25,7 +25,8 @@ def _prune_months(fact: DataFrame, start: date | None, end: date | None) -> Data
     """Partition predicate implied by a date range.
 
     A join on the hour dimension cannot prune fact files by itself, so the same bound is
-    also put on the partition column when the table has one.
+    also put on the partition column when the table is read with it. The column itself is
+    physical and does not show in results.
     """
     if PARTITION_COLUMN not in fact.columns:
         return fact
@@ -33,7 +34,7 @@ def _prune_months(fact: DataFrame, start: date | None, end: date | None) -> Data
         fact = fact.where(F.col(PARTITION_COLUMN) >= _month(start))
     if end is not None:
         fact = fact.where(F.col(PARTITION_COLUMN) <= _month(end))
-    return fact
+    return fact.drop(PARTITION_COLUMN)
 
 
 def _date_filter(

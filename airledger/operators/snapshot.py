@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from airledger.functions.measures import widen
 from airledger.functions.paths import release_id
-from airledger.operators.merge import PARTITION_COLUMN, fold_delta
+from airledger.operators.merge import PARTITION_COLUMN, fold_delta, replace_delta
 from airledger.schemas import FACT_SPECS, TABLE_SPECS, TableSpec
 from airledger.sources.tables import conform
 
@@ -39,8 +39,20 @@ def release_form(table: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def merge_snapshot(current: DataFrame | None, delta: DataFrame, spec: TableSpec) -> DataFrame:
-    """Next snapshot of a table. Deletions are never inferred; repeating a merge is harmless."""
+def merge_snapshot(
+    current: DataFrame | None,
+    delta: DataFrame,
+    spec: TableSpec,
+    *,
+    current_unique: bool = False,
+) -> DataFrame:
+    """Next snapshot of a table. Deletions are never inferred; repeating a merge is harmless.
+
+    ``current_unique`` promises that the current snapshot has no repeated keys, as every
+    snapshot merged here has; it is then not shuffled to find out.
+    """
+    if current is not None and current_unique:
+        return replace_delta(current, delta, spec, schema=spec.released).select(*spec.columns)
     return fold_delta(current, delta, spec, schema=spec.released)
 
 

@@ -127,7 +127,8 @@ def _build_table(
         entry = latest[1]["tables"][spec.name]
         current = read_snapshot(spark, store.at(entry["parquet_key"]), spec)
     parquet = store.at(release_key(release_id, spec.name, "parquet"))
-    write_parquet(merge_snapshot(current, delta, spec), spec, parquet)
+    merged = merge_snapshot(current, delta, spec, current_unique=True)
+    write_parquet(merged, spec, parquet)
     written = spark.read.schema(spec.released).parquet(parquet)
     write_csv(written, spec, store.at(release_key(release_id, spec.name, "csv")))
     return table_stats(written, spec).first()

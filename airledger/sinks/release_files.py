@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from airledger.operators.quality import require_empty
 from airledger.operators.snapshot import KEPT_RELEASES, deletable_releases
 from airledger.schemas import ANALYST, LOCAL_ZONE, TABLE_SPECS, TableSpec
-from airledger.session import MAX_RECORDS_PER_FILE
+from airledger.session import MAX_RECORDS_PER_CSV, MAX_RECORDS_PER_FILE
 from airledger.sources.files import (
     checksum_files,
     delete_path,
@@ -59,7 +59,7 @@ def write_csv(df: DataFrame, spec: TableSpec, path: str, mode: str = "error") ->
         .option("emptyValue", "")
         .option("timeZone", "UTC")
         .option("timestampFormat", CSV_TIMESTAMP)
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_CSV)
         .csv(path)
     )
 

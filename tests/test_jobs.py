@@ -16,6 +16,7 @@ from helpers import (
 from pyspark.sql import functions as F
 
 from airledger.operators.monitoring import SCHEDULED_RUN_TYPES
+from airledger.operators.reads import hourly_range
 from airledger.plans.catchup import backfill_hourly, catch_up
 from airledger.plans.etl import RUN_TYPES, load_history, run_dates, run_etl, seed_districts
 from airledger.plans.report import workflow_report
@@ -162,7 +163,17 @@ def test_hourly_backfill_gets_larger_keys(spark, tmp_path):
     hours = wh.table(DIM_HOUR)
     spans = hours.groupBy("observed_date").agg(F.min("hour_key"), F.max("hour_key"))
     assert rows(spans, "*") == [(date(2024, 1, 3), 25, 48), (date(2024, 1, 5), 1, 24)]
-    fact = wh.table(FACT_HOURLY).groupBy("district_id", "temperature_2m").count()
+    late = landing(spark, hourly_doc(date(2024, 2, 3), 25.0, (1,)))
+    run_etl(wh, late, "incremental-hourly", start=date(2024, 2, 3), end=date(2024, 2, 3))
+    january = hourly_range(
+        wh.physical(FACT_HOURLY), wh.table(DIM_HOUR), 1, None, date(2024, 1, 31), limit=1000
+    )
+    assert january.count() == 48 and "month_key" not in january.columns
+    assert {f.split("month_key=")[1][:6] for f in january.inputFiles() if "month_key" in f} == {
+        "202401"
+    }
+    wh_fact = wh.table(FACT_HOURLY).join(hours.select("hour_key"), "hour_key")
+    fact = wh_fact.groupBy("district_id", "temperature_2m").count()
     assert rows(fact, "*") == [(1, 20.0, 24), (1, 30.0, 24), (2, 21.0, 48)]
 
 
@@ -267,35 +278,31 @@ def test_sync_copies_what_is_missing(spark, tmp_path):
     first, second = date(2024, 1, 10), date(2024, 2, 11)
     now = datetime(2024, 3, 1, tzinfo=timezone.utc)
 
-    def load(day, value):
-        documents = landing(spark, *scheduled_documents(day, value=value))
-        for run_type in SCHEDULED_RUN_TYPES:
-            run_etl(source, documents, run_type, start=day, end=day)
+    def load(value, *dates, run_types=("incremental-hourly",)):
+        documents = landing(spark, *[d for day in dates for d in scheduled_documents(day, value=value)])
+        for run_type in run_types:
+            run_etl(source, documents, run_type, start=min(dates), end=max(dates))
 
-    load(first, 10.0)
+    load(10.0, first, run_types=SCHEDULED_RUN_TYPES)
     results = sync_warehouses(source, target, now=now)
     assert [r.table for r in results] == [s.name for s in TABLE_SPECS]
+    assert sync_totals(results)["rows_read"] == sum(len(v) for v in _tables(source).values())
     assert _tables(target) == _tables(source)
-    # Nothing new: only the always-copied dimension and calendar days at or past the cutoff.
+    # A new day and a backfilled earlier one arrive by key, and calendar days by cutoff; a
+    # changed old row does not, until a longer look back asks for it.
+    load(12.0, second)
+    load(30.0, first, date(2024, 1, 2))
     again = {r.table: r.rows_read for r in sync_warehouses(source, target, now=now)}
     assert again == {
-        "dim_district": 3, "dim_date": 31, "dim_hour": 0, "fact_weather_daily": 0,
-        "fact_weather_hourly": 0, "fact_aqi_hourly": 0,
+        "dim_district": 3, "dim_date": 31, "dim_hour": 48, "fact_weather_daily": 0,
+        "fact_weather_hourly": 144, "fact_aqi_hourly": 0,
     }
-    assert _tables(target) == _tables(source)
-    # A new day and a backfilled earlier one arrive; a changed old row does not, until asked.
-    load(second, 12.0)
-    load(date(2024, 1, 2), 13.0)
-    third = sync_warehouses(source, target, now=now)
-    assert {r.table: r.rows_read for r in third}["fact_weather_hourly"] == 144
-    assert _tables(target)["fact_weather_hourly"] == _tables(source)["fact_weather_hourly"]
-    load(first, 30.0)
-    sync_warehouses(source, target, now=now)
-    assert _tables(target)["fact_weather_hourly"] != _tables(source)["fact_weather_hourly"]
+    copied, loaded = _tables(target), _tables(source)
+    assert copied["dim_hour"] == loaded["dim_hour"]
+    assert len(copied["fact_weather_hourly"]) == len(loaded["fact_weather_hourly"])
+    assert copied["fact_weather_hourly"] != loaded["fact_weather_hourly"]
     sync_warehouses(source, target, now=now, lookback_days=60)
-    assert _tables(target) == _tables(source)
-    full = sync_warehouses(source, target, now=now, full=True)
-    assert sync_totals(full)["rows_read"] == sum(len(v) for v in _tables(source).values())
+    assert _tables(target) == loaded
 
 
 def test_sync_guards(spark, tmp_path):
