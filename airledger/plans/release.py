@@ -16,7 +16,7 @@ from airledger.operators.snapshot import (
     table_stats,
 )
 from airledger.schemas import DIM_HOUR, TABLE_SPECS, TableSpec
-from airledger.session import Staging, staging
+from airledger.session import Staging, side_by_side, staging
 from airledger.sinks.release_files import (
     ReleaseStore,
     build_manifest,
@@ -87,12 +87,12 @@ def _build(
     moment = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
     release_id = moment.strftime("%Y%m%dT%H%M%SZ")
     spark = warehouse.spark
-    measured = []
     with staging(spark, "release") as stage:
-        for spec in TABLE_SPECS:
-            measured.append(
-                _build_table(warehouse, store, stage, spec, release_id, latest, window)
-            )
+        measured = side_by_side(
+            spark,
+            lambda spec: _build_table(warehouse, store, stage, spec, release_id, latest, window),
+            TABLE_SPECS,
+        )
     stats = hour_range_from_dimension(spark.createDataFrame(measured, STATS_SCHEMA))
     require_empty(
         release_problems(stats, window[1] if window else None), "release must not be published"

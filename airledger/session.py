@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from airledger.sources.files import delete_path
@@ -37,6 +40,22 @@ def cluster_builder(app_name: str = "airledger") -> SparkSession.Builder:
     return builder
 
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
+
+def side_by_side(
+    spark: SparkSession, work: Callable[[Item], Result], items: Iterable[Item]
+) -> list[Result]:
+    """Submit the Spark jobs of independent items together; results keep their order.
+
+    Small tables then do not hold the cluster up while a large one is written.
+    """
+    todo = list(items)
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), todo))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from airledger.operators.quality import require_empty
 from airledger.operators.snapshot import KEPT_RELEASES, deletable_releases
 from airledger.schemas import ANALYST, LOCAL_ZONE, TABLE_SPECS, TableSpec
-from airledger.session import MAX_RECORDS_PER_CSV, MAX_RECORDS_PER_FILE
+from airledger.session import MAX_RECORDS_PER_CSV, MAX_RECORDS_PER_FILE, side_by_side
 from airledger.sources.files import (
     checksum_files,
     delete_path,
@@ -178,16 +178,18 @@ class ReleaseStore:
 
     def refresh_aliases(self, manifest: dict) -> None:
         """Rewrite the stable CSV copies from the release, then check them."""
-        for spec in TABLE_SPECS:
-            entry = manifest["tables"].get(spec.name)
-            if entry is None:
-                continue
+
+        def refresh(spec: TableSpec) -> None:
+            entry = manifest["tables"][spec.name]
             released = self.spark.read.schema(spec.released).parquet(
                 self.at(entry["parquet_key"])
             )
             write_csv(released, spec, self.at(f"{CURRENT}/{spec.name}.csv"), mode="overwrite")
             mark = {"release-id": manifest["release_id"], "sha256": entry["csv_sha256"]}
             write_text(self.spark, self.at(f"{CURRENT}/{spec.name}.json"), to_json(mark))
+
+        published = [s for s in TABLE_SPECS if s.name in manifest["tables"]]
+        side_by_side(self.spark, refresh, published)
         self.verify_aliases(manifest)
 
     def verify_aliases(self, manifest: dict) -> None:
