@@ -43,7 +43,7 @@ def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Re
             ("data", pa.binary()),
         ]
     )
-    block = TaskContext.get().partitionId() << 32
+    block = TaskContext.get().partitionId() << 20
     ids: list[int | None] = []
     parts: list[bytes] = []
 
@@ -58,7 +58,7 @@ def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Re
         for doc_id, text in zip(batch[0].to_pylist(), batch[1].cast(pa.binary()).to_pylist()):
             ids.append(doc_id)
             parts.append(text)
-            size += len(text)
+            size += len(text) + 64  # so that empty texts fill a block, too
             if size >= block_bytes:
                 yield row()
                 block, ids, parts, size = block + 1, [], [], 0
@@ -72,6 +72,8 @@ class Block:
     def __init__(self, table: pa.Table) -> None:
         self.number = table["block"][0].as_py()
         self.ids = table["ids"][0].as_py()
+        #: Ids of the rows, unique in the whole table; a block has fewer than a million rows.
+        self.rows = (self.number << 20) + np.arange(len(self.ids))
         data = table["data"][0].as_buffer()  # a view, not a copy
         self.data = np.frombuffer(data, np.uint8) if data and data.size else np.zeros(0, np.uint8)
         self.bounds = np.zeros(len(self.ids) + 1, np.int64)
