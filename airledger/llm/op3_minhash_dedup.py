@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -105,14 +106,13 @@ def _rows(block: Block, answers: Answers) -> pa.Table:
         digest = np.array([*sums, len(members)], np.uint64).tobytes()
         rows["n"].append(len(members))
         rows["digest"].append(digest)
-        text = block.data[bounds[i] : bounds[i + 1]]
-        whole = H.spans(H.prefix_sums(H.BYTE_VALUES[text]), np.array([0]), np.array([len(text)]))
-        rows["text_hash"].append(whole.view(np.int64)[0])
+        rows["text_hash"].append(xxhash.xxh64_intdigest(block.data[bounds[i] : bounds[i + 1]], 42))
         rows["keys"].append(np.unique(keys).view(np.int64))
         # One copy of a set per block is enough; only sets that may have a partner are kept.
         kept = len(keys) > 0 and digest not in seen
         rows["members"].append(np.sort(members.view(np.int64)) if kept else None)
         seen.add(digest)
+    rows["text_hash"] = np.array(rows["text_hash"], np.uint64).view(np.int64)
     return pa.table(rows, _ARROW)
 
 
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     text is empty, and an empty set is linked with nothing. ``component_id`` is the least
     doc_id of the component (null only if it has no other). ``kept`` says that a row has that
     id. ``stays`` marks exactly one row of each component, also where ids repeat.
-    ``text_hash`` tells rows with equal ids apart. An empty table gives no rows.
+    ``text_hash`` is Spark's xxhash64 of the text; it tells rows with equal ids apart. An empty table gives no rows.
     """
     blocks = BlockTable(texts(docs), "minhash", block_bytes=block_bytes)
     blocks.ask(0, _asked, short=True)
@@ -245,5 +245,27 @@ def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     )
 
 
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of each component stays, its least doc_id's; columns unchanged.
+
+    Rows are told apart by doc_id and text. Of rows that share both, any one stays.
+    """
+    staying = (
+        near_duplicates(docs)
+        .groupBy("doc_id", "text_hash")
+        .agg(F.max("stays").alias("stays"), F.count("*").alias("copies"))
+        .where("stays")
+    )
+    staying = staged(staying, "staying").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.withColumn("_key", F.xxhash64(text)).join(
+        staying,
+        F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")),
+    )
+    if not staying.where("copies > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "_key"])
+    return rows.select(*[docs[c] for c in docs.columns])
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).drop("stays", "text_hash")

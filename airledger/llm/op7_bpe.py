@@ -178,7 +178,8 @@ def _column(docs: DataFrame, source: str, target: str, kind: T.DataType, path: s
     ship_code(spark)
     with open(path, encoding="utf-8") as file:
         sent = spark.sparkContext.broadcast(file.read())
-    docs = docs.drop(target).withColumn("_source", F.col(source))
+    docs = docs.withColumn("_source", F.col(source))
+    docs = docs.select(*[c for c in docs.columns if c not in (target, "_source")], "_source")
     fields = [*docs.schema.fields[:-1], T.StructField(target, kind)]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
