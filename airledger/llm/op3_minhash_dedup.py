@@ -9,8 +9,9 @@ A list is kept under a run of neighbouring values of the sketch instead of a sin
 that a line that very many documents share doesn't bring all of them together: the longer
 the sketch, the longer the run. At the least similarity linked, 0.75, neighbours in the
 united sketch are shared three times in four, and the chance that two sets show no common
-run is below 1e-7 (see ``RUNS``). Sets of fewer than 32 shingles use single values up to the
-length that makes a shared one certain.
+run is below 1e-7 (see ``RUNS``). The runs tell which sets may have a partner at all. Among
+those, sets of fewer than 128 shingles then use single values, as many as make a shared one
+certain.
 
 Equal sets are one node. Lists are compared by leaders: a round pairs a few members of each
 list with all others that aren't yet in their component, then links components; a list
@@ -35,12 +36,14 @@ from airledger.llm.tables import read, staged, texts
 SHINGLE = 5
 SKETCH = 128
 PERCENT = 75
-LEADERS = 16
+MORE_LEADERS = 8
 ESTIMATE_VALUES, LEAST_ESTIMATE = 64, 0.45
 #: (run length, least and largest size of a set). Sets of 0.75 and more meet in one class.
 #: With neighbours shared at 0.75, no common run is left by n values with a chance of about
 #: 0.576**n for pairs (n >= 32), 0.75**n for triples (64), 0.844**n for fours (128).
 RUNS = ((1, 1, 31), (2, 24, 63), (3, 48, 127), (4, 96, 1 << 62))
+#: Sets of at least LARGE values keep the lists of runs, sets below SMALL get lists of values.
+LARGE, SMALL = 96, 128
 _ARROW = pa.schema(
     [
         ("row", pa.int64()),
@@ -48,20 +51,21 @@ _ARROW = pa.schema(
         ("n", pa.int64()),
         ("digest", pa.binary()),
         ("text_hash", pa.int64()),
-        ("keys", pa.list_(pa.int64())),
+        ("alone", pa.bool_()),
+        ("runs", pa.list_(pa.int64())),
         ("members", pa.list_(pa.int64())),
     ]
 )
 SCHEMA = (
     "row bigint, doc_id bigint, n bigint, digest binary, text_hash bigint, "
-    "keys array<bigint>, members array<bigint>"
+    "alone boolean, runs array<bigint>, members array<bigint>"
 )
 
 
-def list_keys(members: np.ndarray) -> np.ndarray:
+def list_keys(members: np.ndarray, runs: tuple = RUNS) -> np.ndarray:
     """The inverted lists a sorted set of shingle hashes stands in."""
     n, found = len(members), []
-    for length, least, most in RUNS:
+    for length, least, most in runs:
         if least <= n <= most:
             kept = members[: n // 4 + 1] if length == 1 else members[:SKETCH]
             count = len(kept) - length + 1
@@ -102,12 +106,14 @@ def _rows(block: Block, answers: Answers) -> pa.Table:
     seen = set()
     for i, (members, keys, end) in enumerate(zip(sets, lists, ends)):
         keys = keys[shared[end - len(keys) : end]]
+        runs = keys[np.isin(keys, list_keys(members, RUNS[-1:]))] if len(members) >= LARGE else keys[:0]
         sums = [np.bitwise_xor.reduce(H.mix(members + np.uint64(s)), initial=np.uint64(0)) for s in (1, 2)]
         digest = np.array([*sums, len(members)], np.uint64).tobytes()
         rows["n"].append(len(members))
         rows["digest"].append(digest)
         rows["text_hash"].append(xxhash.xxh64_intdigest(block.data[bounds[i] : bounds[i + 1]], 42))
-        rows["keys"].append(np.unique(keys).view(np.int64))
+        rows["alone"].append(len(keys) == 0)
+        rows["runs"].append(np.unique(runs).view(np.int64))
         # One copy of a set per block is enough; only sets that may have a partner are kept.
         kept = len(keys) > 0 and digest not in seen
         rows["members"].append(np.sort(members.view(np.int64)) if kept else None)
@@ -116,6 +122,30 @@ def _rows(block: Block, answers: Answers) -> pa.Table:
     return pa.table(rows, _ARROW)
 
 
+def _inverted_lists(nodes: DataFrame) -> DataFrame:
+    """``(key, node)``: the runs of large sets; for small ones, retained values in rare-first order.
+
+    A set of ``n`` values shares one of its first ``n // 4 + 1`` with every similar set, in any
+    order of values that all sets use. Rare values first keeps common lines out of the lists
+    of small sets, of which they make a larger part.
+    """
+    large = nodes.where(F.col("n") >= LARGE).select(F.explode("runs").alias("key"), "node")
+    values = staged(
+        nodes.where(F.col("n") < SMALL).select("node", "n", F.explode("members").alias("key")),
+        "values",
+    )
+    often = values.groupBy("key").agg(F.count("*").alias("often"))
+    first = F.sort_array(F.collect_list(F.struct("often", "key")))  # of fewer than SMALL values
+    small = (
+        values.join(often, "key")
+        .groupBy("node", "n")
+        .agg(first.alias("values"))
+        .select("node", F.explode(F.expr("slice(values, 1, cast(n div 4 + 1 as int))")).alias("value"))
+        .select("value.key", "node")
+    )
+    return large.union(small)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
     """Those of ``pairs (a, b)`` that are similar: by size, by estimate, then by whole sets."""
     left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -190,7 +220,7 @@ def _linked(lists: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame
             lists = lists.join(where, "node", "left").select(
                 "key", "node", F.coalesce("_new", "component").alias("component")
             )
-        leaders = LEADERS
+        leaders *= MORE_LEADERS
 
 
 def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -207,16 +237,15 @@ def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     rows = staged(blocks.each(_rows, SCHEMA), "minhash")
     blocks.close()
 
-    some = rows.where(F.size("keys") > 0)
+    some = rows.where("not alone")
     classes = staged(some.groupBy("digest").agg(F.min("row").alias("row")), "classes")
     nodes = some.join(classes.select("row"), "row").select(
-        F.col("row").alias("node"), "n", "keys", "members"
+        F.col("row").alias("node"), "n", "runs", "members"
     )
     nodes = staged(nodes, "nodes")
     sets = nodes.select("node", "members")
     sketches = nodes.select("node", "n", F.slice("members", 1, ESTIMATE_VALUES).alias("sketch"))
-    lists = nodes.select(F.explode("keys").alias("key"), "node")
-    linked = _linked(lists, sets, sketches)
+    linked = _linked(_inverted_lists(nodes), sets, sketches)
 
     of_class = staged(
         classes.join(linked.withColumnRenamed("node", "row"), "row", "left").select(
