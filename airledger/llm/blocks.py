@@ -31,7 +31,7 @@ from airledger.sources.files import delete_path
 BLOCK_BYTES = 8 << 20
 BLOCK_SCHEMA = "block bigint, ids array<bigint>, sizes array<bigint>, data binary"
 PACK_SCHEMA = "bucket int, block bigint, keys binary"
-ANSWER_SCHEMA = "block bigint, level int, bucket int, bits binary"
+ANSWER_SCHEMA = "block bigint, level int, bucket int, bits binary, later binary"
 
 
 def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -87,10 +87,15 @@ class Answers:
         self.buckets = buckets
         self.bits: dict[tuple[int, int], np.ndarray] = {}
         if table is not None:
-            for level, bucket, bits in zip(
-                table["level"].to_pylist(), table["bucket"].to_pylist(), table["bits"]
+            for level, bucket, bits, later in zip(
+                table["level"].to_pylist(),
+                table["bucket"].to_pylist(),
+                table["bits"],
+                table["later"],
             ):
                 self.bits[level, bucket] = np.frombuffer(bits.as_buffer(), np.uint8)
+                if later.is_valid:
+                    self.bits[~level, bucket] = np.frombuffer(later.as_buffer(), np.uint8)
 
     def of(self, level: int, keys: np.ndarray) -> np.ndarray:
         """For sorted distinct 64-bit keys as they were asked: is another holder known?
@@ -148,16 +153,18 @@ def _answer(level: int, short: bool, order: bool) -> Callable[[pa.Table], pa.Tab
         later[at[1:][equal]] = True
         shared = later.copy()
         shared[at[:-1][equal]] = True
-        rows = {"block": [], "level": [], "bucket": [], "bits": []}
+        rows = {"block": [], "level": [], "bucket": [], "bits": [], "later": []}
         bucket = table["bucket"][0].as_py()
-        for number, hit in ((level, shared), (~level, later)) if order else ((level, shared),):
-            for i, end, size in zip(along, np.cumsum(sizes), sizes):
-                bits = hit[end - size : end]
-                if bits.any():
-                    rows["block"].append(blocks[i])
-                    rows["level"].append(number)
-                    rows["bucket"].append(bucket)
-                    rows["bits"].append(np.packbits(bits).tobytes())
+        for i, end, size in zip(along, np.cumsum(sizes), sizes):
+            bits = shared[end - size : end]
+            if bits.any():
+                rows["block"].append(blocks[i])
+                rows["level"].append(level)
+                rows["bucket"].append(bucket)
+                rows["bits"].append(np.packbits(bits).tobytes())
+                rows["later"].append(
+                    np.packbits(later[end - size : end]).tobytes() if order else None
+                )
         return pa.table(
             rows,
             pa.schema(
@@ -166,6 +173,7 @@ def _answer(level: int, short: bool, order: bool) -> Callable[[pa.Table], pa.Tab
                     ("level", pa.int32()),
                     ("bucket", pa.int32()),
                     ("bits", pa.binary()),
+                    ("later", pa.binary()),
                 ]
             ),
         )
@@ -186,7 +194,7 @@ class BlockTable:
         self.spark: SparkSession = docs.sparkSession
         ship_code(self.spark)
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.buckets = 1 << max(8, (4 * partitions - 1).bit_length())
+        self.buckets = 1 << max(6, (partitions - 1).bit_length())
         self.root = fresh_folder(self.spark, label)
         self.name = f"blocks_{uuid.uuid4().hex}"
         rows = docs.select("doc_id", "text")
