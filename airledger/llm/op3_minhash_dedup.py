@@ -9,15 +9,16 @@ A list is kept under a run of neighbouring values of the sketch instead of a sin
 that a line that very many documents share doesn't bring all of them together: the longer
 the sketch, the longer the run. At the least similarity linked, 0.75, neighbours in the
 united sketch are shared three times in four, and the chance that two sets show no common
-run is below 1e-7 (see ``RUNS``). The runs tell which sets may have a partner at all. Among
-those, sets of fewer than 128 shingles then use single values, as many as make a shared one
-certain.
+run is below 1e-7 (see ``RUNS``). Sets of fewer than 32 shingles use single values up to the
+length that makes a shared one certain.
 
 Equal sets are one node. Lists are compared by leaders: a round pairs a few members of each
 list with all others that aren't yet in their component, then links components; a list
 leaves when all of it is linked or every member outside its largest component has led. So a
-group of copies costs about one comparison per member and list, no list is cut short, and no
-link is lost.
+group of copies costs a few comparisons per member, no list is cut short, and no link is lost.
+Lists that stay open after the first rounds, as those of frequent lines do, are replaced for
+their members by lists of single values, rare ones first, in which sets that are too
+different to be linked hardly meet.
 """
 
 from __future__ import annotations
@@ -36,14 +37,11 @@ from airledger.llm.tables import read, staged, texts
 SHINGLE = 5
 SKETCH = 128
 PERCENT = 75
-MORE_LEADERS = 8
 ESTIMATE_VALUES, LEAST_ESTIMATE = 64, 0.45
 #: (run length, least and largest size of a set). Sets of 0.75 and more meet in one class.
 #: With neighbours shared at 0.75, no common run is left by n values with a chance of about
 #: 0.576**n for pairs (n >= 32), 0.75**n for triples (64), 0.844**n for fours (128).
 RUNS = ((1, 1, 31), (2, 24, 63), (3, 48, 127), (4, 96, 1 << 62))
-#: Sets of at least LARGE values keep the lists of runs, sets below SMALL get lists of values.
-LARGE, SMALL = 96, 128
 _ARROW = pa.schema(
     [
         ("row", pa.int64()),
@@ -62,10 +60,10 @@ SCHEMA = (
 )
 
 
-def list_keys(members: np.ndarray, runs: tuple = RUNS) -> np.ndarray:
+def list_keys(members: np.ndarray) -> np.ndarray:
     """The inverted lists a sorted set of shingle hashes stands in."""
     n, found = len(members), []
-    for length, least, most in runs:
+    for length, least, most in RUNS:
         if least <= n <= most:
             kept = members[: n // 4 + 1] if length == 1 else members[:SKETCH]
             count = len(kept) - length + 1
@@ -106,14 +104,13 @@ def _rows(block: Block, answers: Answers) -> pa.Table:
     seen = set()
     for i, (members, keys, end) in enumerate(zip(sets, lists, ends)):
         keys = keys[shared[end - len(keys) : end]]
-        runs = keys[np.isin(keys, list_keys(members, RUNS[-1:]))] if len(members) >= LARGE else keys[:0]
         sums = [np.bitwise_xor.reduce(H.mix(members + np.uint64(s)), initial=np.uint64(0)) for s in (1, 2)]
         digest = np.array([*sums, len(members)], np.uint64).tobytes()
         rows["n"].append(len(members))
         rows["digest"].append(digest)
         rows["text_hash"].append(xxhash.xxh64_intdigest(block.data[bounds[i] : bounds[i + 1]], 42))
         rows["alone"].append(len(keys) == 0)
-        rows["runs"].append(np.unique(runs).view(np.int64))
+        rows["runs"].append(np.unique(keys).view(np.int64))
         # One copy of a set per block is enough; only sets that may have a partner are kept.
         kept = len(keys) > 0 and digest not in seen
         rows["members"].append(np.sort(members.view(np.int64)) if kept else None)
@@ -122,28 +119,34 @@ def _rows(block: Block, answers: Answers) -> pa.Table:
     return pa.table(rows, _ARROW)
 
 
-def _inverted_lists(nodes: DataFrame) -> DataFrame:
-    """``(key, node)``: the runs of large sets; for small ones, retained values in rare-first order.
+def _rare_first(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """Lists under single values for the nodes of ``lists``, rare values first.
 
-    A set of ``n`` values shares one of its first ``n // 4 + 1`` with every similar set, in any
-    order of values that all sets use. Rare values first keeps common lines out of the lists
-    of small sets, of which they make a larger part.
+    In any order of values that all sets use, the first common value of two similar sets is
+    among the first ``n // 4 + 1`` of each, and neither can share more than what follows it. So
+    a member goes where too little follows for the smallest partner in the list. With rare
+    values first, a copy that differs too much has spent its places on its own values.
     """
-    large = nodes.where(F.col("n") >= LARGE).select(F.explode("runs").alias("key"), "node")
-    values = staged(
-        nodes.where(F.col("n") < SMALL).select("node", "n", F.explode("members").alias("key")),
-        "values",
-    )
+    nodes = lists.select("node", "n", "component").distinct()
+    values = nodes.select("node").join(sets, "node").select("node", F.explode("members").alias("key"))
+    values = staged(values, "values")
     often = values.groupBy("key").agg(F.count("*").alias("often"))
-    first = F.sort_array(F.collect_list(F.struct("often", "key")))  # of fewer than SMALL values
-    small = (
+    places = (
         values.join(often, "key")
-        .groupBy("node", "n")
-        .agg(first.alias("values"))
-        .select("node", F.explode(F.expr("slice(values, 1, cast(n div 4 + 1 as int))")).alias("value"))
-        .select("value.key", "node")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("values"))
+        .select("node", F.posexplode(F.expr("slice(values, 1, size(values) div 4 + 1)")))
+        .where("col.often > 1")
+        .select("node", F.col("pos").alias("place"), F.col("col.key").alias("key"))
+    )
+    found = staged(places.join(nodes, "node"), "lists")
+    least = found.groupBy("key").agg(F.min("n").alias("least"))
+    partner = F.greatest(F.col("least"), F.col("n") * PERCENT / 100)
+    return (
+        found.join(least, "key")
+        .where((F.col("n") - F.col("place")) * 7 >= (F.col("n") + partner) * 3)
+        .select("key", "node", "n", "place", "component")
     )
-    return large.union(small)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -175,52 +178,84 @@ def _verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFra
     )
 
 
-def _linked(lists: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``(node, component)`` of nodes with links. ``lists`` has key and node."""
-    lists = lists.withColumn("component", F.col("node"))
-    tested = links = None
-    leaders = 1
+def _rounds():
+    """``(kind of lists, share of lists, leaders per list, from the largest component)``.
+
+    First a few lists are enough to link most of what belongs together, then members of each
+    list's largest component call on those outside, which costs one comparison per outsider.
+    What is still open goes on with rare values, where outsiders lead at last.
+    """
+    yield from (("runs", 16, 1, True), ("runs", 1, 1, True), ("runs", 1, 4, True))
+    yield "values", 1, 1, True
+    leaders = 16
     while True:
+        yield "values", 1, leaders, False
+        leaders *= 4
+
+
+def _linked(nodes: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``(node, component)`` of nodes with links."""
+    lists = nodes.select(
+        F.explode("runs").alias("key"),
+        "node",
+        "n",
+        F.lit(0).alias("place"),
+        F.col("node").alias("component"),
+    )
+    tested = links = None
+    now = "runs"
+    for kind, share, leaders, inside in _rounds():
+        if kind != now:
+            lists, now = _rare_first(lists, sets), kind
         split = lists.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         split = split.where("x <> y").select("key")
         lists = staged(lists.join(split, "key"), "lists")
         if lists.isEmpty():
             return components(links) if links is not None else lists.select("node", "component")
+        asked = lists.where(F.pmod(F.xxhash64("key"), F.lit(share)) == 0)
         bulk = (
-            lists.groupBy("key", "component")
+            asked.groupBy("key", "component")
             .count()
             .groupBy("key")
             .agg(F.max_by("component", "count").alias("bulk"))
         )
         order = Window.partitionBy("key").orderBy("node")
         first = (
-            lists.join(bulk, "key")
-            .where("component <> bulk" if leaders > 1 else "true")
+            asked.join(bulk, "key")
+            .where("component = bulk" if inside else "component <> bulk")
             .withColumn("_rank", F.row_number().over(order))
             .where(F.col("_rank") <= leaders)
-            .select("key", F.col("node").alias("leader"), F.col("component").alias("own"))
+            .select(
+                "key",
+                F.col("node").alias("leader"),
+                F.col("component").alias("own"),
+                F.col("n").alias("size"),
+                F.col("place").alias("at"),
+            )
         )
         first = staged(first, "leaders")
+        # Similar sets share three sevenths of both, and at most what follows a first common value.
+        enough = "least(n - place, size - at) * 7 >= (n + size) * 3"
         pairs = (
             lists.join(first, "key")
-            .where("component <> own")
+            .where(f"component <> own and {enough}")
             .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
             .distinct()
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        found = staged(_verified(pairs, sets, sketches), "links")
         tested = pairs if tested is None else tested.union(pairs)
+        # A leader has met all of its list outside its component and needn't meet it again.
         led = first.select("key", F.col("leader").alias("node"))
         lists = lists.join(led, ["key", "node"], "left_anti")
+        found = staged(_verified(pairs, sets, sketches), "links")
         if not found.isEmpty():
-            links = found if links is None else staged(links.union(found), "links")
+            links = found if links is None else links.union(found)
             where = components(links).withColumnRenamed("component", "_new")
             lists = lists.join(where, "node", "left").select(
-                "key", "node", F.coalesce("_new", "component").alias("component")
+                "key", "node", "n", "place", F.coalesce("_new", "component").alias("component")
             )
-        leaders *= MORE_LEADERS
 
 
 def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -245,7 +280,7 @@ def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     nodes = staged(nodes, "nodes")
     sets = nodes.select("node", "members")
     sketches = nodes.select("node", "n", F.slice("members", 1, ESTIMATE_VALUES).alias("sketch"))
-    linked = _linked(_inverted_lists(nodes), sets, sketches)
+    linked = _linked(nodes, sets, sketches)
 
     of_class = staged(
         classes.join(linked.withColumnRenamed("node", "row"), "row", "left").select(
