@@ -12,6 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from airledger.llm.tables import ship_code
 
+ROWS_AT_ONCE = 256
+
 
 def with_columns(
     docs: DataFrame, fields: list[T.StructField], work: Callable[[str | None], tuple]
@@ -29,9 +31,11 @@ def with_columns(
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [work(text) for text in batch.column(batch.num_columns - 1).to_pylist()]
-            new = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=columns)
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(begin, ROWS_AT_ONCE)
+                rows = [work(text) for text in part.column(part.num_columns - 1).to_pylist()]
+                new = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=columns)
 
     return docs.mapInArrow(each, schema)
 

@@ -36,7 +36,8 @@ from pyspark.sql import types as T
 from airledger.llm.tables import read, ship_code
 
 TOKENIZER = "word_bpe_49k.json"
-WORDS_KEPT, PAIRS_KEPT = 200_000, 500_000
+WORDS_KEPT, PAIRS_KEPT = 100_000, 200_000
+ROWS_AT_ONCE = 256
 _END = "\x00"
 _NEVER = 1 << 60
 
@@ -173,46 +174,62 @@ def _bpe(text: str) -> Bpe:
     return _loaded[key]
 
 
-def _column(docs: DataFrame, source: str, target: str, kind: T.DataType, path: str, work) -> DataFrame:
+def _columns(docs: DataFrame, source: str, fields: list[T.StructField], path: str | None, work) -> DataFrame:
+    """``docs`` with ``fields``, whose values ``work(bpe, value of source)`` gives; one Python pass."""
     spark = docs.sparkSession
     ship_code(spark)
-    with open(path, encoding="utf-8") as file:
+    with open(path or public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
         sent = spark.sparkContext.broadcast(file.read())
+    new = [f.name for f in fields]
     docs = docs.withColumn("_source", F.col(source))
-    docs = docs.select(*[c for c in docs.columns if c not in (target, "_source")], "_source")
-    fields = [*docs.schema.fields[:-1], T.StructField(target, kind)]
+    docs = docs.select(*[c for c in docs.columns if c not in (*new, "_source")], "_source")
+    schema = T.StructType([*docs.schema.fields[:-1], *fields])
+    kinds = [pa.binary() if isinstance(f.dataType, T.BinaryType) else pa.string() for f in fields]
+    names = schema.names
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(sent.value)
-        arrow = pa.binary() if isinstance(kind, T.BinaryType) else pa.string()
         for batch in batches:
-            values = [work(bpe, x) for x in batch.column(len(fields) - 1).to_pylist()]
-            columns = [*batch.columns[:-1], pa.array(values, arrow)]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(begin, ROWS_AT_ONCE)
+                rows = [work(bpe, x) for x in part.column(part.num_columns - 1).to_pylist()]
+                made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=names)
 
-    return docs.mapInArrow(each, T.StructType(fields))
+    return docs.mapInArrow(each, schema)
 
 
 def encoded(docs: DataFrame, path: str | None = None, source: str = "text", target: str = "ids") -> DataFrame:
     """``docs`` with the ids of a text column as binary, little-endian unsigned 32-bit integers.
 
     A null text is empty, and an empty text has no ids. Other columns and repeated rows stay;
-    a column called ``target`` is replaced. ``path`` names a tokenizer file on the driver.
+    columns called ``target`` or ``_source`` are replaced. ``path`` names a tokenizer file on
+    the driver.
     """
-    path = path or public_tokenizers.path(TOKENIZER)
-    return _column(docs, source, target, T.BinaryType(), path, lambda bpe, text: bpe.encode(text or ""))
+    field = T.StructField(target, T.BinaryType())
+    return _columns(docs, source, [field], path, lambda bpe, text: (bpe.encode(text or ""),))
 
 
 def decoded(docs: DataFrame, path: str | None = None, source: str = "ids", target: str = "decoded") -> DataFrame:
     """``docs`` with the text of ids made by ``encoded``; null ids are none."""
-    path = path or public_tokenizers.path(TOKENIZER)
-    return _column(docs, source, target, T.StringType(), path, lambda bpe, ids: bpe.decode(ids or b""))
+    field = T.StructField(target, T.StringType())
+    return _columns(docs, source, [field], path, lambda bpe, ids: (bpe.decode(ids or b""),))
+
+
+def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``encoded`` and ``decoded`` in one pass: ``docs`` with ``ids`` and ``decoded``."""
+    fields = [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
+
+    def work(bpe, text):
+        ids = bpe.encode(text or "")
+        return ids, bpe.decode(ids)
+
+    return _columns(docs, "text", fields, path, work)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = decoded(encoded(docs).drop("text"))
-    return rows.select(
+    return round_trip(docs).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
