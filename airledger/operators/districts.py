@@ -50,7 +50,9 @@ def select_districts(
     spark = districts.sparkSession
     requested = spark.createDataFrame([(i,) for i in sorted(set(ids))], "district_id int")
     require_empty(
-        unknown_districts(requested, districts).orderBy("district_id"), "unknown district ids"
+        unknown_districts(requested, districts).orderBy("district_id"),
+        "unknown district ids",
+        most=None,
     )
     return requested_districts(districts, requested, first)
 

@@ -68,11 +68,15 @@ def coordinate_errors(districts: DataFrame) -> DataFrame:
     return error_rows(districts, COORDINATE_RULES, "analyst.dim_district")
 
 
-def require_empty(df: DataFrame, message: str) -> None:
-    """Fail, quoting a few offending rows, unless ``df`` is empty."""
-    sample = df.limit(5).collect()
+def require_empty(df: DataFrame, message: str, most: int | None = 5) -> None:
+    """Fail unless ``df`` is empty, quoting up to ``most`` offending rows and how many there are.
+
+    ``most`` is None only where the rows are few because a caller listed them.
+    """
+    sample = (df if most is None else df.limit(most)).collect()
     if sample:
-        raise ValueError(f"{message}: {[row.asDict() for row in sample]}")
+        count = len(sample) if most is None or len(sample) < most else df.count()
+        raise ValueError(f"{message} ({count}): {[row.asDict() for row in sample]}")
 
 
 def require_unique(df: DataFrame, key: Sequence[str], table: str) -> None:

@@ -47,7 +47,8 @@ def sync_delta(
 ) -> DataFrame:
     """Source rows a target still lacks: key above its mark OR dated at/after the cutoff.
 
-    ``marks`` is None for an empty target, which takes everything. Facts compare against
+    ``marks`` is None for an empty target, which takes everything, as does a target whose
+    mark is null because its table has no rows. Facts compare against
     the ``local_marks`` of their own district; rows of districts the target does not know
     come in through the cutoff alone. Hand in stored marks: their known size lets Spark
     broadcast them, and the source is not shuffled on its few, uneven districts.
@@ -59,7 +60,8 @@ def sync_delta(
     if spec.cutoff_via_hour:
         rows = rows.join(dim_hour.select("hour_key", spec.cutoff_column), "hour_key")
     if spec.district_column is None:
-        newer = F.col(spec.key_column) > marks.select("last_key").scalar()
+        mark = marks.select("last_key").scalar()
+        newer = mark.isNull() | (F.col(spec.key_column) > mark)
     else:
         own = marks.select("district_id", F.col("last_key").alias("_mark"))
         rows = rows.join(own, "district_id", "left")

@@ -126,7 +126,7 @@ def run_etl(
             if mode == "forecast"
             else documents_between(landing, feed, start, end)
         )
-        result = _load(warehouse, documents, kind, chosen, run_id, mode == "forecast")
+        result = _load(warehouse, documents, kind, chosen, run_id, mode == "forecast", start, end)
     except Exception as failure:
         warehouse.complete_run(run_id, "failed", error_summary=str(failure))
         raise
@@ -144,6 +144,8 @@ def _load(
     districts: DataFrame,
     run_id: int,
     forecast: bool,
+    start: date,
+    end: date,
 ) -> RunResult:
     places = districts.select("district_id", "latitude", "longitude")
     with staging(warehouse.spark, "etl") as stage:
@@ -158,6 +160,8 @@ def _load(
         rows = observations(
             parsed.drop("problem").join(chosen, ["district_id", "doc_id"], "left_semi")
         )
+        if not forecast:
+            rows = rows.where(F.col("observed_date").between(F.lit(start), F.lit(end)))
         outcome = count_outcomes(rows, kind.rules).first()
         if outcome.rows_skipped:
             table = f"{ANALYST}.{kind.spec.name}"

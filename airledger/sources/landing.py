@@ -46,11 +46,11 @@ def read_landing_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def documents_between(landing: DataFrame, feed: str, start: date, end: date) -> DataFrame:
-    """Archive documents that lie inside the run's date range."""
+    """Archive documents that overlap the run's date range; their rows outside it aren't loaded."""
     return landing.where(
         (F.col("feed") == feed)
-        & (F.col("start_date") >= F.lit(start))
-        & (F.col("end_date") <= F.lit(end))
+        & (F.col("end_date") >= F.lit(start))
+        & (F.col("start_date") <= F.lit(end))
     )
 
 
