@@ -1,8 +1,9 @@
-"""The star schema derived from generic tables (nation, orders, events).
+"""The star schema derived from generic tables (customer, orders, events).
 
-District = nation. Daily fact = orders, by customer number modulo 25 and order day. Hourly
-facts = events, by user number modulo 25 and hour; event times are read as local wall-clock
-time. Where several source rows share a key, the one with the greatest id counts.
+District = customer, placed where its nation is. Daily fact = orders by customer and day.
+Hourly facts = events by user (a customer number) and hour; event times are read as local
+wall-clock time. Every source row counts: amounts of rows that share a key are summed. Facts
+and the district dimension therefore grow with the tables.
 """
 
 from __future__ import annotations
@@ -21,17 +22,13 @@ from airledger.functions.temporal import (
 )
 from airledger.operators.calendar import calendar_between
 from airledger.operators.hours import assign_hour_keys
-from airledger.operators.merge import latest_per_key
 from airledger.schemas import DIM_HOUR
 from airledger.session import Staging
 
-AQI_EVENTS = ("click", "view")
-DISTRICTS = 25
-
-
 # Declared, so that no job is needed to find a file's schema.
 SOURCE_SCHEMAS = {
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp_ntz, o_orderpriority string",
@@ -62,10 +59,10 @@ def _between(df: DataFrame, column: str, start: date | None, end: date | None) -
 
 
 def districts(spark: SparkSession, sf: str) -> DataFrame:
-    number = F.col("n_nationkey").cast("double")
-    return source(spark, sf, "nation").select(
-        F.col("n_nationkey").cast("int").alias("district_id"),
-        F.col("n_name").alias("district_name"),
+    number = F.col("c_nationkey").cast("double")
+    return source(spark, sf, "customer").select(
+        F.col("c_custkey").cast("int").alias("district_id"),
+        F.col("c_name").alias("district_name"),
         (F.lit(20.5) + number * 5 / F.lit(100.0)).alias("latitude"),
         (F.lit(105.2) + number * 3 / F.lit(100.0)).alias("longitude"),
     )
@@ -76,13 +73,12 @@ def daily_fact(
 ) -> DataFrame:
     orders = _between(source(spark, sf, "orders"), "o_orderdate", start, end)
     keyed = orders.select(
-        (F.col("o_custkey") % DISTRICTS).cast("int").alias("district_id"),
+        F.col("o_custkey").cast("int").alias("district_id"),
         F.col("o_orderdate").cast("date").alias("observed_date"),
-        "o_orderkey",
         cents("o_totalprice").alias("cents"),
     )
-    latest = latest_per_key(keyed, ["district_id", "observed_date"], "o_orderkey")
-    return latest.select(
+    summed = keyed.groupBy("district_id", "observed_date").agg(F.sum("cents").alias("cents"))
+    return summed.select(
         "district_id",
         date_key(F.col("observed_date")).alias("date_key"),
         "observed_date",
@@ -92,13 +88,12 @@ def daily_fact(
 
 def _events_by_hour(events: DataFrame) -> DataFrame:
     keyed = events.select(
-        (F.col("user_id") % DISTRICTS).cast("int").alias("district_id"),
+        F.col("user_id").cast("int").alias("district_id"),
         start_of_hour(F.col("ts")).alias("hour"),
-        "event_id",
         cents("value").alias("cents"),
     )
-    latest = latest_per_key(keyed, ["district_id", "hour"], "event_id")
-    return latest.withColumn("observed_at", instant_of_wall_clock(F.col("hour")))
+    summed = keyed.groupBy("district_id", "hour").agg(F.sum("cents").alias("cents"))
+    return summed.withColumn("observed_at", instant_of_wall_clock(F.col("hour")))
 
 
 def hourly_rows(
@@ -128,8 +123,7 @@ def aqi_rows(
     keep_hour: bool = False,
 ) -> DataFrame:
     events = _between(source(spark, sf, "events"), "ts", start, end)
-    chosen = events.where(F.col("event_type").isin(*AQI_EVENTS))
-    return _events_by_hour(chosen).select(
+    return _events_by_hour(events).select(
         "district_id",
         *(["hour"] if keep_hour else []),
         "observed_at",

@@ -1,7 +1,8 @@
 """Landing documents assembled from observation rows.
 
 A document covers one district and one month (daily) or one day (hourly); the arrays
-gathered into it are bounded by the calendar, not by the number of source rows.
+gathered into it are bounded by the calendar, not by the number of source rows. A batch
+holds the districts of one range of ``BATCH_DISTRICTS`` numbers.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from airledger.functions.temporal import local_wall_clock
 from airledger.operators.payload import Kind
 
+BATCH_DISTRICTS = 50
+
 
 def _timed(rows: DataFrame, kind: Kind) -> DataFrame:
     """Add the time text and the document's date range."""
@@ -71,12 +74,15 @@ def landing(series: DataFrame, kind: Kind, feed: str) -> DataFrame:
 
 
 def batch_documents(rows: DataFrame, kind: Kind, feed: str) -> DataFrame:
-    """One document per date range with an array element for each district."""
-    series = series_per_district(rows, kind)
+    """One document per date range and batch with an array element for each district."""
+    batch = F.floor(F.col("district_id") / BATCH_DISTRICTS)
+    series = series_per_district(rows, kind).withColumn("batch", batch)
     members = F.array_sort(F.collect_list(F.struct("district_id", "series")))
-    grouped = series.groupBy("start_date", "end_date").agg(members.alias("members"))
+    grouped = series.groupBy("batch", "start_date", "end_date").agg(members.alias("members"))
     return grouped.select(
-        F.concat_ws("/", F.lit(feed), F.col("start_date").cast("string")).alias("doc_id"),
+        F.concat_ws(
+            "/", F.lit(feed), F.col("batch").cast("string"), F.col("start_date").cast("string")
+        ).alias("doc_id"),
         F.lit(feed).alias("feed"),
         F.col("members.district_id").alias("district_ids"),
         "start_date",

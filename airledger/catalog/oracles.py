@@ -26,12 +26,10 @@ HOURLY = _names(HOURLY_RECIPES)
 AQI = _names(AQI_RECIPES)
 
 _HOUR_SOURCE = """{name}_base AS (
-  SELECT CAST(user_id % 25 AS INTEGER) AS district_id, date_trunc('hour', ts) AS observed_at,
-         {cents} AS cents,
-         row_number() OVER (PARTITION BY user_id % 25, date_trunc('hour', ts)
-                            ORDER BY event_id DESC) AS rn
-  FROM events WHERE {where}),
-{name} AS (SELECT district_id, observed_at, {measures} FROM {name}_base WHERE rn = 1)"""
+  SELECT CAST(user_id AS INTEGER) AS district_id, date_trunc('hour', ts) AS observed_at,
+         CAST(sum({cents}) AS BIGINT) AS cents
+  FROM events WHERE {where} GROUP BY 1, 2),
+{name} AS (SELECT district_id, observed_at, {measures} FROM {name}_base)"""
 
 
 def _hour_source(name: str, recipes: list[Recipe], where: str = "TRUE") -> str:
@@ -40,20 +38,17 @@ def _hour_source(name: str, recipes: list[Recipe], where: str = "TRUE") -> str:
     )
 
 
-AQI_ONLY = "event_type IN ('click', 'view')"
-
 
 def _daily_source(name: str = "daily", where: str = "TRUE") -> str:
     return f"""{name}_base AS (
-  SELECT CAST(o_custkey % 25 AS INTEGER) AS district_id,
-         CAST(o_orderdate AS DATE) AS observed_date, {_cents("o_totalprice")} AS cents,
-         row_number() OVER (PARTITION BY o_custkey % 25, CAST(o_orderdate AS DATE)
-                            ORDER BY o_orderkey DESC) AS rn
-  FROM orders WHERE {where}),
+  SELECT CAST(o_custkey AS INTEGER) AS district_id,
+         CAST(o_orderdate AS DATE) AS observed_date,
+         CAST(sum({_cents("o_totalprice")}) AS BIGINT) AS cents
+  FROM orders WHERE {where} GROUP BY 1, 2),
 {name} AS (
   SELECT district_id, CAST(strftime(observed_date, '%Y%m%d') AS INTEGER) AS date_key,
          observed_date, {_measures(DAILY_RECIPES)}
-  FROM {name}_base WHERE rn = 1)"""
+  FROM {name}_base)"""
 
 
 HOURS = """hours AS (
@@ -63,10 +58,10 @@ HOURS = """hours AS (
   FROM (SELECT DISTINCT date_trunc('hour', ts) AS observed_at FROM events))"""
 
 DISTRICTS = """districts AS (
-  SELECT CAST(n_nationkey AS INTEGER) AS district_id, n_name AS district_name,
-         CAST(20.5 AS DOUBLE) + CAST(n_nationkey AS DOUBLE) * 5 / CAST(100 AS DOUBLE) AS latitude,
-         CAST(105.2 AS DOUBLE) + CAST(n_nationkey AS DOUBLE) * 3 / CAST(100 AS DOUBLE) AS longitude
-  FROM nation)"""
+  SELECT CAST(c_custkey AS INTEGER) AS district_id, c_name AS district_name,
+         CAST(20.5 AS DOUBLE) + CAST(c_nationkey AS DOUBLE) * 5 / CAST(100 AS DOUBLE) AS latitude,
+         CAST(105.2 AS DOUBLE) + CAST(c_nationkey AS DOUBLE) * 3 / CAST(100 AS DOUBLE) AS longitude
+  FROM customer)"""
 
 
 def _calendar(first: str, last: str, table: str) -> str:
@@ -124,7 +119,7 @@ ORACLES["daily_statistics_filtered"] = _statistics(
     "3", "'1996-01-01'", "'1998-12-31'",
     "district_id = 3 AND observed_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'",
 )
-ORACLES["daily_statistics_no_match"] = _statistics("999", "NULL", "NULL", "district_id = 999")
+ORACLES["daily_statistics_no_match"] = _statistics("-1", "NULL", "NULL", "district_id = -1")
 
 
 def _page(source: str, names: list[str], where: str, limit: int, offset: int) -> str:
@@ -139,14 +134,14 @@ ORDER BY h.observed_at, f.district_id LIMIT {limit} OFFSET {offset}""",
 
 
 _HOURLY = _hour_source("fact", HOURLY_RECIPES)
-_AQI = _hour_source("fact", AQI_RECIPES, AQI_ONLY)
+_AQI = _hour_source("fact", AQI_RECIPES)
 
 ORACLES["hourly_page"] = _page(
     _HOURLY, HOURLY, "h.observed_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'", 200, 50
 )
 ORACLES["hourly_page_district"] = _page(_HOURLY, HOURLY, "f.district_id = 4", 100, 0)
 ORACLES["aqi_page"] = _page(_AQI, AQI, "h.observed_date >= DATE '2024-01-08'", 1000, 10)
-ORACLES["hourly_deep_page"] = _page(_HOURLY, HOURLY, "TRUE", 300, 500)
+ORACLES["hourly_deep_page"] = _page(_HOURLY, HOURLY, "TRUE", 300, 9000)
 ORACLES["export_window"] = _with(
     _HOURLY,
     HOURS,
@@ -183,19 +178,19 @@ ORACLES["district_lookup"] = _with(
     DISTRICTS, then="SELECT * FROM districts WHERE district_id = 7"
 )
 ORACLES["district_lookup_by_name"] = _with(
-    DISTRICTS, then="SELECT * FROM districts WHERE district_name = 'NATION_3'"
+    DISTRICTS, then="SELECT * FROM districts WHERE district_name = 'Customer#000000003'"
 )
 ORACLES["district_subset"] = _with(
     DISTRICTS,
-    then="""SELECT * FROM districts WHERE district_id IN (SELECT s_nationkey FROM supplier)
+    then="""SELECT * FROM districts WHERE district_id IN (SELECT s_suppkey FROM supplier)
 ORDER BY district_id LIMIT 10""",
 )
-ORACLES["district_unknown"] = """SELECT DISTINCT CAST(o_custkey % 31 AS INTEGER) AS district_id
-FROM orders WHERE o_custkey % 31 NOT IN (SELECT n_nationkey FROM nation)"""
+ORACLES["district_unknown"] = """SELECT DISTINCT CAST(o_custkey * 2 AS INTEGER) AS district_id
+FROM orders WHERE o_custkey * 2 NOT IN (SELECT c_custkey FROM customer)"""
 ORACLES["skip_loaded"] = _with(
     DISTRICTS,
     then="""SELECT * FROM districts WHERE district_id NOT IN
-  (SELECT o_custkey % 25 FROM orders WHERE o_totalprice > 499000)""",
+  (SELECT user_id FROM events)""",
 )
 
 # -- calendar and hours --------------------------------------------------------------------
@@ -243,9 +238,8 @@ FROM (SELECT DISTINCT district_id,
 JOIN (VALUES (0), (100)) AS x(extra)
   ON d.district_id % 5 = 2 OR (d.district_id % 5 = 1 AND extra = 0)""",
 )
-ORACLES["missing_payload"] = """SELECT CAST(n_nationkey AS INTEGER) AS district_id FROM nation
-WHERE n_nationkey NOT IN
-  (SELECT o_custkey % 25 FROM orders WHERE (o_custkey % 25) % 5 NOT IN (1, 2))"""
+ORACLES["missing_payload"] = """SELECT CAST(c_custkey AS INTEGER) AS district_id FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 5 NOT IN (1, 2))"""
 
 # -- validation ----------------------------------------------------------------------------
 
@@ -325,11 +319,11 @@ ORACLES["validate_counts"] = "\nUNION ALL\n".join(
         _counts("aqi-hourly", _AQI, AQI, R.AQI_RULES),
     ]
 )
-ORACLES["dup_keys"] = """SELECT CAST(user_id % 25 AS INTEGER) AS district_id,
+ORACLES["dup_keys"] = """SELECT CAST(user_id AS INTEGER) AS district_id,
   date_trunc('hour', ts) AS observed_at, count(*) AS copies
 FROM events GROUP BY 1, 2 HAVING count(*) > 1"""
-ORACLES["orphan_check"] = """SELECT DISTINCT CAST(o_custkey % 33 AS INTEGER) AS district_id
-FROM orders WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = o_custkey % 33)"""
+ORACLES["orphan_check"] = """SELECT DISTINCT CAST(o_custkey * 3 AS INTEGER) AS district_id
+FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey * 3)"""
 ORACLES["coordinate_check"] = _with(
     DISTRICTS,
     then="\nUNION ALL\n".join(
@@ -404,11 +398,11 @@ def _keyed_source(name: str, recipes: list[Recipe], where: str) -> str:
     )
 
 
-def _hourly_replaced(recipes: list[Recipe], names: list[str], also: str, show) -> str:
+def _hourly_replaced(recipes: list[Recipe], names: list[str], show) -> str:
     carry = ["district_id", "hour_key"]
     return _replaced(
-        HOURS + ",\n" + _keyed_source("older", recipes, f"{_OLD_TS} AND {also}"),
-        _keyed_source("newer", recipes, f"{_NEW_TS} AND {also}"),
+        HOURS + ",\n" + _keyed_source("older", recipes, _OLD_TS),
+        _keyed_source("newer", recipes, _NEW_TS),
         "district_id, hour_key", names, carry, show,
     )
 
@@ -424,8 +418,8 @@ ORACLES["upsert_daily"] = _replaced(
     _daily_source("newer", "o_orderdate >= TIMESTAMP '1999-01-01'"),
     "district_id, date_key", DAILY, ["district_id", "date_key", "observed_date"], _narrow,
 )
-ORACLES["upsert_hourly"] = _hourly_replaced(HOURLY_RECIPES, HOURLY, "TRUE", _narrow)
-ORACLES["upsert_aqi"] = _hourly_replaced(AQI_RECIPES, AQI, AQI_ONLY, _narrow)
+ORACLES["upsert_hourly"] = _hourly_replaced(HOURLY_RECIPES, HOURLY, _narrow)
+ORACLES["upsert_aqi"] = _hourly_replaced(AQI_RECIPES, AQI, _narrow)
 _KEPT = ("precipitation_sum", "rain_sum")
 ORACLES["upsert_keep_absent"] = _with(
     _daily_source("older", "o_orderdate < TIMESTAMP '2000-01-01'"),
@@ -439,7 +433,7 @@ WHERE (district_id, date_key) NOT IN (SELECT (district_id, date_key) FROM newer)
 )
 _MERGED = "SELECT CAST(district_id AS BIGINT) AS district_id, CAST(hour_key AS BIGINT) AS hour_key, {} FROM ({})"
 ORACLES["merge_snapshot"] = _MERGED.format(
-    _cols(HOURLY), _hourly_replaced(HOURLY_RECIPES, HOURLY, "TRUE", _wide)
+    _cols(HOURLY), _hourly_replaced(HOURLY_RECIPES, HOURLY, _wide)
 )
 ORACLES["merge_snapshot_first"] = _with(
     _daily_source(),
@@ -462,14 +456,15 @@ WHERE (district_id, hour_key) NOT IN (SELECT (district_id, hour_key) FROM newer)
 
 ORACLES["watermarks_by_district"] = _with(
     HOURS,
-    _keyed_source("older", HOURLY_RECIPES, _OLD_TS),
-    then="SELECT district_id, max(hour_key) AS last_key FROM older GROUP BY district_id",
+    _keyed_source("whole", HOURLY_RECIPES, "TRUE"),
+    then="SELECT district_id, max(hour_key) AS last_key FROM whole GROUP BY district_id",
 )
 ORACLES["watermark_dimension"] = _with(HOURS, then="SELECT max(hour_key) AS last_key FROM hours")
-_TARGET = """target AS (SELECT * FROM copied WHERE district_id BETWEEN 3 AND 19),
-marks AS (SELECT n_nationkey AS district_id, coalesce(max(hour_key), -1) AS mark
-  FROM nation LEFT JOIN target ON district_id = n_nationkey
-  WHERE n_nationkey < 20 GROUP BY 1),
+_TARGET = """target AS (SELECT f.* FROM copied f JOIN customer ON district_id = c_custkey
+  WHERE c_nationkey BETWEEN 3 AND 19),
+marks AS (SELECT c_custkey AS district_id, coalesce(max(hour_key), -1) AS mark
+  FROM customer LEFT JOIN target ON district_id = c_custkey
+  WHERE c_nationkey < 20 GROUP BY 1),
 delta AS (SELECT w.* FROM whole w LEFT JOIN marks m USING (district_id)
   WHERE (m.mark IS NOT NULL AND w.hour_key > m.mark)
      OR w.observed_at >= TIMESTAMP '2024-01-20 07:00:00')"""
@@ -485,9 +480,9 @@ ORACLES["sync_delta_facts"] = _with(
 ORACLES["sync_delta_daily"] = _with(
     _daily_source("copied", "o_orderdate < TIMESTAMP '2000-01-01'"),
     _daily_source("whole"),
-    """marks AS (SELECT n_nationkey AS district_id, coalesce(max(date_key), -1) AS mark
-  FROM nation LEFT JOIN copied ON district_id = n_nationkey
-  WHERE n_nationkey < 20 GROUP BY 1)""",
+    """marks AS (SELECT c_custkey AS district_id, coalesce(max(date_key), -1) AS mark
+  FROM customer LEFT JOIN copied ON district_id = c_custkey
+  WHERE c_nationkey < 20 GROUP BY 1)""",
     then="""SELECT w.* FROM whole w LEFT JOIN marks m USING (district_id)
 WHERE (m.mark IS NOT NULL AND w.date_key > m.mark) OR w.observed_date >= DATE '2000-06-01'""",
 )
@@ -526,7 +521,7 @@ _STATS = (
     HOURS,
     _daily_source(),
     _hour_source("hourly", HOURLY_RECIPES),
-    _hour_source("aqi", AQI_RECIPES, AQI_ONLY),
+    _hour_source("aqi", AQI_RECIPES),
     "stats AS (\n"
     + "\nUNION ALL\n".join(
         [
@@ -652,7 +647,7 @@ FROM runs WHERE finished_at IS NOT NULL""",
 ORACLES["warehouse_snapshot"] = _with(
     _daily_source(),
     _hour_source("hourly", HOURLY_RECIPES),
-    _hour_source("aqi", AQI_RECIPES, AQI_ONLY),
+    _hour_source("aqi", AQI_RECIPES),
     then="""SELECT 'Daily weather' AS table_label, count(*) AS total_rows,
   coalesce(CAST(max(observed_date) AS VARCHAR), '-') AS latest_value FROM daily
 UNION ALL SELECT 'Hourly weather', count(*), coalesce(CAST(max(observed_at) AS VARCHAR), '-')

@@ -15,8 +15,14 @@ from airledger.functions.temporal import (
 SCHEDULED_RUN_TYPES = ("incremental-daily", "incremental-hourly", "incremental-aqi-hourly")
 
 
-def latest_run_state(runs: DataFrame) -> DataFrame:
-    """Current state of each run from its appended records: a finished record wins."""
+def latest_run_state(runs: DataFrame, since: Column | None = None) -> DataFrame:
+    """Current state of each run from its appended records: a finished record wins.
+
+    All records of a run carry the same start, so ``since`` is applied to the records: older
+    ones are left out by the scan and not sorted.
+    """
+    if since is not None:
+        runs = recent_runs(runs, since)
     columns = [c for c in runs.columns if c != "etl_run_id"]
     finished = F.col("finished_at").isNotNull()
     order = F.struct(finished, F.coalesce("finished_at", "started_at"))

@@ -13,8 +13,6 @@ from airledger.schemas import TableSpec
 
 DEFAULT_PAGE = 100
 MAX_PAGE = 1000
-# Up to this depth a page is an ordinary top-k; beyond it the page is located by counting.
-DEEP_OFFSET = 10_000
 
 
 def _month(day: date) -> int:
@@ -103,8 +101,14 @@ def hourly_range(
     end: date | None = None,
     limit: int = DEFAULT_PAGE,
     offset: int = 0,
+    *,
+    by_counts: bool = False,
 ) -> DataFrame:
-    """One page of hourly rows by instant, then district."""
+    """One page of hourly rows by instant, then district.
+
+    A page is a top-k of ``offset + limit`` rows; with ``by_counts`` it is located by
+    ``deep_page``, which suits large offsets. Both give the same rows.
+    """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
     if offset < 0:
@@ -112,7 +116,7 @@ def hourly_range(
     if district_id is not None:
         fact = fact.where(F.col("district_id") == district_id)
     rows = with_hours(fact, dim_hour, start, end)
-    if offset > DEEP_OFFSET:
+    if by_counts:
         return deep_page(rows, limit, offset)
     return rows.orderBy("observed_at", "district_id").offset(offset).limit(limit)
 

@@ -13,7 +13,7 @@ from airledger.operators.merge import PARTITION_COLUMN
 from airledger.operators.sync import local_marks, sync_delta, watermarks
 from airledger.schemas import DIM_DATE, DIM_DISTRICT, DIM_HOUR, TABLE_SPECS, TableSpec
 from airledger.session import Staging, staging
-from airledger.sinks.warehouse import MAX_LISTED_MONTHS, Warehouse
+from airledger.sinks.warehouse import Warehouse
 
 
 @dataclass(frozen=True)
@@ -102,14 +102,6 @@ def _prune(
         dimension = source.table(DIM_DATE)
         admissible = (F.col("date_key") > lowest) | (F.col("date") >= day)
         month = month_of_date_key(F.col("date_key"))
-    months = [
-        row[0]
-        for row in dimension.where(admissible)
-        .select(month.alias("month"))
-        .distinct()
-        .limit(MAX_LISTED_MONTHS + 1)
-        .collect()
-    ]
-    if len(months) > MAX_LISTED_MONTHS:
-        return rows
+    listed = dimension.where(admissible).select(month.alias("month")).distinct()
+    months = [row[0] for row in listed.collect()]
     return rows.where(F.col(PARTITION_COLUMN).isin(months))

@@ -28,8 +28,6 @@ from airledger.session import MAX_RECORDS_PER_FILE
 from airledger.sources.files import child_folders, delete_path, path_exists
 
 KEPT_VERSIONS = 3
-# More touched months than this (a century) are not listed; the whole table is rewritten.
-MAX_LISTED_MONTHS = 1200
 
 
 class Warehouse:
@@ -96,16 +94,9 @@ class Warehouse:
         if not self.exists(spec):
             self._write_months(spec, normalise(delta, spec))
             return
-        current = self.physical(spec)
-        months = [
-            row[0]
-            for row in delta.select(PARTITION_COLUMN)
-            .distinct()
-            .limit(MAX_LISTED_MONTHS + 1)
-            .collect()
-        ]
-        if len(months) <= MAX_LISTED_MONTHS:
-            current = current.where(F.col(PARTITION_COLUMN).isin(months))
+        # At most twelve values a year, whatever the number of rows.
+        months = [row[0] for row in delta.select(PARTITION_COLUMN).distinct().collect()]
+        current = self.physical(spec).where(F.col(PARTITION_COLUMN).isin(months))
         self._write_months(spec, replace_delta(current, delta, spec, keep_absent=keep_absent))
 
     def _write_months(self, spec: TableSpec, rows: DataFrame) -> None:
