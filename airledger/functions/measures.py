@@ -1,22 +1,11 @@
-"""Element access and type changes for measure columns."""
+"""Type changes for measure columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def element_as_double(series: Column, position: Column) -> Column:
-    """Null for a missing series, a position past its end, or a null element."""
-    return F.get(series, position).cast("double")
-
-
-def element_as_int(series: Column, position: Column) -> Column:
-    """Truncates toward zero; the storage type is applied when rows are loaded."""
-    return F.get(series, position).cast("double").cast("int")
-
-
 def widen(column: Column, kind: T.DataType, target: T.DataType) -> Column:
     """Released form of a stored column.
 

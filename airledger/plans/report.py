@@ -45,7 +45,7 @@ def workflow_report(
         jobs = read_job_reports(warehouse.spark, job_reports)
         oldest = jobs.agg(F.min(F.to_timestamp("started_at_utc"))).first()[0]
         moment = F.lit(oldest) if oldest is not None else moment
-    runs = latest_run_state(warehouse.monitoring("etl_runs"))
+    runs = latest_run_state(warehouse.monitoring("etl_runs"), moment)
     return WorkflowReport(
         runs=run_report(runs, moment),
         totals=run_totals(runs, moment),

@@ -96,11 +96,12 @@ def checksum_files(spark: SparkSession, root: str) -> DataFrame:
 def set_digest(sha256: F.Column) -> F.Column:
     """Aggregate per-file SHA-256 values into one, independent of file order.
 
-    The words of the digests are XOR-ed, which combines on the map side and needs no list
-    of files in one place. With a single file the result is that file's own SHA-256.
+    The 32-bit words of the digests are added modulo 2^32, so that equal files don't cancel;
+    sums combine on the map side and need no list of files in one place. With a single file
+    the result is that file's own SHA-256. Which file holds what is for ``file_mismatches``.
     """
     words = [
-        F.bit_xor(F.conv(F.substring(sha256, 1 + 8 * i, 8), 16, 10).cast("long"))
+        F.sum(F.conv(F.substring(sha256, 1 + 8 * i, 8), 16, 10).cast("long")) % (1 << 32)
         for i in range(8)
     ]
     return F.concat(*[F.lpad(F.lower(F.hex(w)), 8, "0") for w in words])

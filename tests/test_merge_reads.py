@@ -10,63 +10,72 @@ from airledger.operators import hours as H
 from airledger.operators import merge as G
 from airledger.operators import reads as R
 from airledger.operators.sync import local_marks, sync_delta, watermarks
-from airledger.schemas import DIM_HOUR, FACT_DAILY, FACT_HOURLY, SPECS, TableSpec, released_type
+from airledger.schemas import DIM_HOUR, FACT_DAILY, FACT_HOURLY, SPECS, released_type
 from airledger.sources.tables import conform
 
-SAMPLE = TableSpec(
-    name="sample",
-    primary_key=("id",),
-    stored=T.StructType(
-        [
-            T.StructField("id", T.IntegerType()),
-            T.StructField("observed_date", T.DateType()),
-            T.StructField("value", T.StringType()),
-        ]
-    ),
-    date_column="observed_date",
-)
 D = date(2024, 1, 1)
 
 
-def _sample(spark, *values):
-    return spark.createDataFrame([(i, D, v) for i, v in values], SAMPLE.stored)
+# (district, day of May 2022, rain, weather code)
+STORED = [(4, 9, 1.5, 61), (4, 10, 0.0, 3), (8, 9, 7.25, None)]
+ARRIVED = [(4, 10, None, 80), (8, 10, 2.5, 63), (5, 9, 0.5, 51)]
+
+
+def _observed(spark, values, *, columns=("rain_sum", "weather_code")):
+    """Daily fact rows; columns not asked for are absent."""
+    df = spark.createDataFrame(
+        [(n, 20220500 + day, date(2022, 5, day), rain, code) for n, day, rain, code in values],
+        "district_id int, date_key int, observed_date date, rain_sum float, weather_code smallint",
+    )
+    return df.select("district_id", "date_key", "observed_date", *columns)
+
+
+def _stored(spark, values):
+    return conform(_observed(spark, values), FACT_DAILY.stored)
+
+
+def _shown(df):
+    shown = df.select("district_id", F.dayofmonth("observed_date"), "rain_sum", "weather_code")
+    return sorted((tuple(r) for r in shown.collect()), key=lambda r: r[:2])
 
 
 @pytest.mark.parametrize("merge", [G.fold_delta, G.replace_delta])
-def test_delta_replaces_and_inserts(spark, merge):
-    current = _sample(spark, (1, "old"), (2, "keep"))
-    delta = _sample(spark, (1, None), (3, "new"))
-    once = merge(current, delta, SAMPLE)
-    assert rows(once, "id", "value") == [(1, None), (2, "keep"), (3, "new")]
-    assert rows(merge(once, delta, SAMPLE), "*") == rows(once, "*")
+def test_rows_that_arrive_take_the_place_of_stored_ones(spark, merge):
+    delta = _observed(spark, ARRIVED)
+    once = merge(_stored(spark, STORED), delta, FACT_DAILY)
+    assert _shown(once) == [
+        (4, 9, 1.5, 61), (4, 10, None, 80), (5, 9, 0.5, 51), (8, 9, 7.25, None), (8, 10, 2.5, 63),
+    ]
+    assert _shown(merge(conform(once, FACT_DAILY.stored), delta, FACT_DAILY)) == _shown(once)
 
 
-def test_without_a_current_side_the_delta_is_the_result(spark):
-    delta = _sample(spark, (1, "a"))
-    assert rows(G.fold_delta(None, delta, SAMPLE), "id", "value") == [(1, "a")]
+def test_the_first_delta_is_the_table(spark):
+    first = G.fold_delta(None, _observed(spark, ARRIVED), FACT_DAILY)
+    assert _shown(first) == sorted(ARRIVED)
 
 
-def test_fold_collapses_repeated_current_keys(spark):
-    current = _sample(spark, (1, "x"), (1, "y"), (2, "z"))
-    got = G.fold_delta(current, _sample(spark, (2, "n")), SAMPLE)
-    assert [r[0] for r in rows(got, "id", "value")] == [1, 2]
+def test_fold_leaves_one_row_of_a_key_stored_twice(spark):
+    current = _stored(spark, [*STORED, (4, 9, 9.0, 95), (8, 9, 3.0, 61)])
+    got = _shown(G.fold_delta(current, _observed(spark, [(8, 9, 4.75, 2)]), FACT_DAILY))
+    assert [r[:2] for r in got] == [(4, 9), (4, 10), (8, 9)]
+    assert got[0] in [(4, 9, 1.5, 61), (4, 9, 9.0, 95)] and got[2] == (8, 9, 4.75, 2)
 
 
 @pytest.mark.parametrize("merge", [G.fold_delta, G.replace_delta])
-def test_absent_columns_become_null_or_are_kept(spark, merge):
-    current = _sample(spark, (1, "old"), (2, "keep"))
-    delta = spark.createDataFrame([(1, D), (3, D)], "id int, observed_date date")
-    assert rows(merge(current, delta, SAMPLE), "id", "value") == [
-        (1, None), (2, "keep"), (3, None),
+@pytest.mark.parametrize("keep_absent", [False, True])
+def test_measures_a_delta_lacks(spark, merge, keep_absent):
+    delta = _observed(spark, ARRIVED[:2], columns=("weather_code",))
+    got = _shown(merge(_stored(spark, STORED), delta, FACT_DAILY, keep_absent=keep_absent))
+    assert got == [
+        (4, 9, 1.5, 61), (4, 10, 0.0 if keep_absent else None, 80), (8, 9, 7.25, None),
+        (8, 10, None, 63),
     ]
-    kept = merge(current, delta, SAMPLE, keep_absent=True)
-    assert rows(kept, "id", "value") == [(1, "old"), (2, "keep"), (3, None)]
 
 
-def test_unknown_columns_are_refused(spark):
-    delta = _sample(spark, (1, "a")).withColumn("extra", F.lit(1))
-    with pytest.raises(ValueError, match=r"unknown columns for sample: \['extra'\]"):
-        G.fold_delta(_sample(spark), delta, SAMPLE)
+def test_columns_outside_the_table_are_refused(spark):
+    delta = _observed(spark, ARRIVED).withColumns({"snow": F.lit(1), "fog": F.lit(2)})
+    with pytest.raises(ValueError, match="unknown columns for fact_weather_daily.*fog.*snow"):
+        G.fold_delta(_stored(spark, STORED), delta, FACT_DAILY)
 
 
 def test_latest_per_key_keeps_whole_rows(spark):

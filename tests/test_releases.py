@@ -14,9 +14,16 @@ from airledger.plans.catchup import catch_up
 from airledger.plans.etl import run_etl
 from airledger.plans.release import bootstrap, publish, release_result
 from airledger.schemas import FACT_DAILY, FACT_HOURLY, TABLE_SPECS
-from airledger.sinks.release_files import CURRENT, ReleaseStore, file_inventory, inventory_totals
-from airledger.sources.files import read_manifest
-from airledger.sources.tables import read_release_csv, read_snapshot
+from airledger.sinks.release_files import (
+    CURRENT,
+    ReleaseStore,
+    csv_digest,
+    file_inventory,
+    inventory_totals,
+    write_csv,
+)
+from airledger.sources.files import read_manifest, set_digest
+from airledger.sources.tables import conform, read_release_csv, read_snapshot
 
 JAN = date(2024, 1, 1)
 FACTS = ("fact_weather_daily", "fact_weather_hourly", "fact_aqi_hourly")
@@ -29,73 +36,87 @@ def _dates(reached, **other):
 # -- publishing range ----------------------------------------------------------------------
 
 
-def test_range_fills_the_gap_after_the_watermark():
-    got = N.publish_range(_dates("2026-07-26"), date(2026, 7, 29))
-    assert got == (date(2026, 7, 27), date(2026, 7, 29))
+@pytest.mark.parametrize("behind", [1, 2, 40])
+def test_range_covers_every_day_not_published_yet(behind):
+    reached = date(2023, 11, 30)
+    target = reached + timedelta(days=behind)
+    first, last = N.publish_range(_dates(reached.isoformat()), target)
+    assert last == target and (last - first).days == behind - 1
 
 
-def test_range_is_empty_when_current():
-    assert N.publish_range(_dates("2026-07-29"), date(2026, 7, 29)) is None
-    assert N.publish_range(_dates("2026-07-29"), date(2026, 7, 1)) is None
+def test_nothing_to_publish_up_to_the_date_reached():
+    reached = _dates("2023-12-31")
+    for target in (date(2023, 12, 31), date(2023, 12, 30), date(2022, 1, 1)):
+        assert N.publish_range(reached, target) is None
 
 
-def test_repair_needs_both_bounds_and_force():
-    day = date(2026, 7, 28)
-    current = _dates("2026-07-29")
-    assert N.publish_range(current, day, day, day, True) == (day, day)
-    with pytest.raises(ValueError, match="has to be forced"):
-        N.publish_range(current, day, day, day)
-    with pytest.raises(ValueError, match="needs bounds"):
-        N.publish_range(current, day, force=True)
-    with pytest.raises(ValueError, match="both"):
-        N.publish_range(current, day, day, None, True)
-    with pytest.raises(ValueError, match="not be after"):
-        N.publish_range(current, day, day, day - timedelta(days=1), True)
+def test_a_repair_is_its_bounds_whatever_the_watermarks_say():
+    low, high = date(2021, 2, 27), date(2021, 3, 2)
+    uneven = {name: None for name in FACTS}
+    assert N.publish_range(uneven, high, low, high, True) == (low, high)
+    refused = {
+        "has to be forced": (low, high, False),
+        "needs bounds": (None, None, True),
+        "both": (None, high, True),
+        "not be after": (high, low, True),
+    }
+    for message, (start, end, force) in refused.items():
+        with pytest.raises(ValueError, match=message):
+            N.publish_range(uneven, high, start, end, force)
 
 
-def test_watermark_needs_equal_fact_dates():
+@pytest.mark.parametrize("name", FACTS)
+def test_each_fact_has_a_say_in_the_watermark(name):
+    assert N.manifest_watermark(_dates("2020-02-29")) == date(2020, 2, 29)
     with pytest.raises(ValueError, match="watermarks differ"):
-        N.manifest_watermark(_dates("2026-07-28", fact_aqi_hourly="2026-07-27"))
-    with pytest.raises(ValueError, match="no max date"):
-        N.manifest_watermark(_dates("2026-07-28", fact_aqi_hourly=None))
+        N.manifest_watermark(_dates("2020-02-29", **{name: "2020-03-01"}))
+    with pytest.raises(ValueError, match=f"no max date for {name}"):
+        N.manifest_watermark(_dates("2020-02-29", **{name: None}))
 
 
 # -- retention -----------------------------------------------------------------------------
 
+# Several releases on one day: ids differ in their time alone.
+HOURLY_IDS = [f"20230404T{hour:02d}0500Z" for hour in (2, 5, 9, 14, 23)]
+
 
 def _listing(spark, *ids, extra=()):
-    paths = [f"file:/store/v1/releases/{i}/manifest.json" for i in ids] + list(extra)
-    return spark.createDataFrame([(p,) for p in paths], "path string")
+    paths = [f"s3a://bin/v1/releases/{i}/analyst/part-{n}" for i in ids for n in (0, 1)]
+    return spark.createDataFrame([(p,) for p in [*paths, *extra]], "path string")
 
 
-def _day(day):
-    return f"202607{day:02d}T181500Z"
+def _given_up(spark, active, keep, ids=HOURLY_IDS):
+    return [r[0] for r in rows(N.deletable_releases(_listing(spark, *ids), active, keep), "*")]
 
 
-def test_retention_keeps_active_and_two_before(spark):
-    listing = _listing(spark, *[_day(d) for d in (26, 27, 28, 29)])
-    assert rows(N.deletable_releases(listing, _day(29)), "release_id") == [(_day(26),)]
-    assert N.deletable_releases(listing, _day(28)).count() == 0
+def test_retention_counts_releases_of_one_day_apart(spark):
+    assert _given_up(spark, HOURLY_IDS[4], 2) == HOURLY_IDS[:3]
+    assert _given_up(spark, HOURLY_IDS[3], 2) == HOURLY_IDS[:2]
+    assert _given_up(spark, HOURLY_IDS[4], 1) == HOURLY_IDS[:4]
 
 
-def test_retention_leaves_newer_and_malformed_alone(spark):
-    odd = (
-        "v1/releases//manifest.json", "v1/releases/0000/manifest.json",
-        "v1/releases/20260725T181500Z", "other/20260725T181500Z/manifest.json",
-    )
-    listing = _listing(spark, *[_day(d) for d in (26, 27, 28, 29, 30)], extra=odd)
-    got = N.deletable_files(listing, _day(29))
-    assert rows(got, "release_id", "path") == [
-        (_day(26), f"file:/store/v1/releases/{_day(26)}/manifest.json")
-    ]
+def test_retention_may_keep_more_than_there_is(spark):
+    assert _given_up(spark, HOURLY_IDS[4], 50) == []
+    assert _given_up(spark, HOURLY_IDS[4], 5, []) == []
     with pytest.raises(ValueError, match="positive"):
-        N.deletable_releases(listing, _day(29), 0)
+        _given_up(spark, HOURLY_IDS[4], 0)
 
 
-def test_active_release_stays_even_if_older_than_the_kept(spark):
-    listing = _listing(spark, *[_day(d) for d in (20, 21, 22)])
-    assert rows(N.deletable_releases(listing, _day(22), 1), "release_id") == [
-        (_day(20),), (_day(21),),
+def test_retention_with_an_active_release_that_is_not_listed(spark):
+    between = "20230404T100000Z"
+    assert _given_up(spark, between, 2) == HOURLY_IDS[:1]
+    assert _given_up(spark, "20000101T000000Z", 1) == []
+
+
+def test_retention_lists_all_files_and_no_stray_ones(spark):
+    stray = (
+        "v1/releases/20230404T02050Z/analyst/part-0", "v2/releases/20230404T020500Z/a",
+        "v1/releases/x20230404T020500Z/a", "v1/releases/20230404T020500Z/", "notes.txt",
+    )
+    listing = _listing(spark, *HOURLY_IDS, extra=stray)
+    got = N.deletable_files(listing, HOURLY_IDS[2], 2)
+    assert [r[0].rsplit("/", 3)[1:] for r in rows(got, "path")] == [
+        [HOURLY_IDS[0], "analyst", f"part-{n}"] for n in (0, 1)
     ]
 
 
@@ -229,7 +250,7 @@ def test_release_life_cycle(spark, tmp_path):
     checksum = alias.parent / f".{alias.name}.crc"
     kept_crc = checksum.read_bytes()
     checksum.unlink()
-    with pytest.raises(RuntimeError, match="current CSV verification failed for dim_district"):
+    with pytest.raises(RuntimeError, match="copy of dim_district is not the released one"):
         store.verify(third)
     alias.write_bytes(kept)
     checksum.write_bytes(kept_crc)
@@ -270,6 +291,36 @@ def test_digest_does_not_depend_on_file_order_or_number(spark, tmp_path):
     for name, body in (("part-1", b"a"), ("part-2", b"b")):
         (folder / name).write_bytes(body)
     total = inventory_totals(file_inventory(spark, str(tmp_path / "analyst"))).first()
-    mixed = int(hashlib.sha256(b"a").hexdigest(), 16) ^ int(hashlib.sha256(b"b").hexdigest(), 16)
+    one, two = hashlib.sha256(b"a").hexdigest(), hashlib.sha256(b"b").hexdigest()
+    added = [(int(one[i : i + 8], 16) + int(two[i : i + 8], 16)) % 2**32 for i in range(0, 64, 8)]
     assert (total.name, total.format, total.bytes) == ("dim_date", "csv", 2)
-    assert total.sha256 == f"{mixed:064x}"
+    assert total.sha256 == "".join(f"{word:08x}" for word in added)
+
+
+def test_equal_files_do_not_cancel_out(spark):
+    same = hashlib.sha256(b"x").hexdigest()
+    digests = [
+        spark.createDataFrame([(same,)] * n, "s string").agg(set_digest(F.col("s"))).first()[0]
+        for n in (1, 2, 3)
+    ]
+    assert digests[0] == same and len(set(digests)) == 3
+
+
+def test_copies_may_be_cut_into_other_files(spark, tmp_path):
+    table = spark.range(0, 3000, 1, 6).select(
+        (F.col("id") % 7).cast("int").alias("district_id"),
+        F.col("id").cast("int").alias("date_key"),
+    )
+    table = conform(table, FACT_DAILY.released)
+    for name, rows_ in (
+        ("six", table), ("one", table.coalesce(1)),
+        ("changed", table.withColumn("date_key", F.greatest("date_key", F.lit(1)))),
+        ("twice", table.unionByName(table.where("date_key = 5"))),
+    ):
+        write_csv(rows_, FACT_DAILY, str(tmp_path / name))
+    six, one, changed, twice = (
+        csv_digest(spark, str(tmp_path / name), FACT_DAILY)
+        for name in ("six", "one", "changed", "twice")
+    )
+    assert six == one and six[0] == 3000
+    assert changed != six and twice != six
