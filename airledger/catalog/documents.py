@@ -2,7 +2,7 @@
 
 A document covers one district and one month (daily) or one day (hourly); the arrays
 gathered into it are bounded by the calendar, not by the number of source rows. A batch
-holds the districts of one range of ``BATCH_DISTRICTS`` numbers.
+holds the districts of one range of ``size`` numbers.
 """
 
 from __future__ import annotations
@@ -73,9 +73,11 @@ def landing(series: DataFrame, kind: Kind, feed: str) -> DataFrame:
     )
 
 
-def batch_documents(rows: DataFrame, kind: Kind, feed: str) -> DataFrame:
+def batch_documents(
+    rows: DataFrame, kind: Kind, feed: str, size: int = BATCH_DISTRICTS
+) -> DataFrame:
     """One document per date range and batch with an array element for each district."""
-    batch = F.floor(F.col("district_id") / BATCH_DISTRICTS)
+    batch = F.floor(F.col("district_id") / size)
     series = series_per_district(rows, kind).withColumn("batch", batch)
     members = F.array_sort(F.collect_list(F.struct("district_id", "series")))
     grouped = series.groupBy("batch", "start_date", "end_date").agg(members.alias("members"))

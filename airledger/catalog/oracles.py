@@ -655,3 +655,52 @@ FROM hourly
 UNION ALL SELECT 'Hourly AQI', count(*), coalesce(CAST(max(observed_at) AS VARCHAR), '-')
 FROM aqi""",
 )
+
+# -- jobs ----------------------------------------------------------------------------------
+
+_INSIDE = f"""inside AS (SELECT * FROM districts
+  WHERE NOT ({" OR ".join(_violated(r) for r in R.COORDINATE_RULES)}))"""
+_SEEDED = "seeded AS (SELECT f.* FROM fact f JOIN inside USING (district_id))"
+
+
+def _job(source: str, rules, names: list[str], then: str) -> str:
+    used = [r for r in rules if r.field in names]
+    good = f"good AS (SELECT *, NOT {_any(used)} AS passes FROM seeded)"
+    return _with(source, DISTRICTS, _INSIDE, _SEEDED, good, then=then)
+
+
+def _etl(source: str, rules, names: list[str], key: str) -> str:
+    return _job(
+        source, rules, names,
+        f"SELECT district_id, {key}, {', '.join(_narrow(n) for n in names)} FROM good WHERE passes",
+    )
+
+
+ORACLES["etl_daily"] = _etl(_daily_as_fact(), R.DAILY_RULES, DAILY, "date_key, observed_date")
+ORACLES["sync_two_warehouses"] = ORACLES["etl_daily"]
+ORACLES["etl_hourly"] = _etl(_HOURLY, R.HOURLY_RULES, HOURLY, "observed_at")
+ORACLES["etl_aqi"] = _etl(_AQI, R.AQI_RULES, AQI, "observed_at")
+ORACLES["etl_errors"] = _with(
+    _daily_as_fact(), DISTRICTS, _INSIDE, _SEEDED,
+    then="\nUNION ALL\n".join(
+        f"""SELECT 1 AS etl_run_id, 'analyst.fact_weather_daily' AS source_table, district_id,
+  '{r.field}' AS field_name, CAST({r.field} AS VARCHAR) AS invalid_value,
+  '{r.reason()}' AS reason, 'error' AS severity
+FROM seeded WHERE {_violated(r)}"""
+        for r in R.DAILY_RULES
+        if r.field in DAILY
+    ),
+)
+ORACLES["etl_counts"] = _job(
+    _HOURLY, R.HOURLY_RULES, HOURLY,
+    """SELECT 1 AS etl_run_id, 'historical-hourly' AS run_type, 'completed' AS status,
+  count(*) FILTER (WHERE passes) AS rows_inserted,
+  count(*) FILTER (WHERE NOT passes) + (SELECT count(*) FROM inside
+    WHERE district_id NOT IN (SELECT user_id FROM events)) AS rows_skipped FROM good""",
+)
+ORACLES["etl_failures"] = _with(
+    DISTRICTS, _INSIDE,
+    then="""SELECT district_id, 'no document landed' AS error,
+  'Failed to read data for district ' || district_name AS message
+FROM inside WHERE district_id NOT IN (SELECT user_id FROM events)""",
+)

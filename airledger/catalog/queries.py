@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from airledger.catalog import adapters as A
 from airledger.catalog import documents as D
+from airledger.catalog.jobs import JOB_QUERIES
 from airledger.functions.rules import RangeRule
 from airledger.functions.temporal import instant_of_wall_clock, start_of_hour
 from airledger.operators import districts as O
@@ -36,7 +37,7 @@ from airledger.sinks.release_files import write_csv
 from airledger.sources.tables import conform, read_release_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Query] = dict(JOB_QUERIES)
 
 # Splits of the event and order ranges. Deltas overlap what came before them.
 CURRENT_END = date(2024, 1, 20)

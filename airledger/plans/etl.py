@@ -189,7 +189,8 @@ def _store(warehouse: Warehouse, stage: Staging, rows: DataFrame, kind: Kind) ->
         hours = stage.put(distinct_hours(rows), "hours")
         warehouse.write_version(DIM_HOUR, refresh_hours(warehouse.table(DIM_HOUR), hours))
         rows = attach_hour_key(rows, warehouse.table(DIM_HOUR))
-    warehouse.upsert(kind.spec, load_projection(rows, kind.spec))
+    # Stored, because an upsert reads it several times.
+    warehouse.upsert(kind.spec, stage.put(load_projection(rows, kind.spec), "delta"))
 
 
 def _log_failed(
