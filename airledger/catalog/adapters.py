@@ -86,6 +86,17 @@ def daily_fact(
     )
 
 
+def daily_of_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily rows that end with the hourly ones: event amounts summed by user and day."""
+    keyed = source(spark, sf, "events").select(
+        F.col("user_id").cast("int").alias("district_id"),
+        F.col("ts").cast("date").alias("observed_date"),
+        cents("value").alias("cents"),
+    )
+    summed = keyed.groupBy("district_id", "observed_date").agg(F.sum("cents").alias("cents"))
+    return summed.select("district_id", "observed_date", *_measures(DAILY_RECIPES))
+
+
 def _events_by_hour(events: DataFrame) -> DataFrame:
     keyed = events.select(
         F.col("user_id").cast("int").alias("district_id"),

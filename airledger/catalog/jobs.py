@@ -20,16 +20,21 @@ from airledger.operators import payload as P
 from airledger.operators.quality import valid_rows
 from airledger.operators.reads import with_hours
 from airledger.plans.etl import ensure_dates, run_etl, seed_districts
+from airledger.plans.release import bootstrap, publish
 from airledger.plans.sync import sync_warehouses
-from airledger.schemas import DIM_HOUR, FACT_DAILY
+from airledger.schemas import DIM_HOUR, FACT_DAILY, FACT_HOURLY
 from airledger.session import Staging, fresh_folder
+from airledger.sinks.release_files import CURRENT, ReleaseStore
 from airledger.sinks.warehouse import Warehouse
+from airledger.sources.files import read_manifest
 from airledger.sources.landing import read_landing_files, read_landing_table
+from airledger.sources.tables import read_release_csv
 
 JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Folder names list the districts of a batch, so a landed batch is kept short.
 LANDED_BATCH = 20
 SPLIT = date(1999, 12, 31)
+FIRST_RELEASE_END = date(2024, 1, 20)
 
 _ROWS = {"daily": A.daily_fact, "hourly": A.hourly_rows, "aqi-hourly": A.aqi_rows}
 
@@ -165,3 +170,53 @@ def sync_two_warehouses(spark, sf):
     return _plain(target.table(FACT_DAILY).select(
         "district_id", "date_key", "observed_date", *[r.measure for r in A.DAILY_RECIPES]
     ))
+
+
+def _landed_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of all three kinds from the events."""
+    daily = D.single_documents(A.daily_of_events(spark, sf), P.DAILY, "archive-daily")
+    hourly = D.batch_documents(A.hourly_rows(spark, sf), P.HOURLY, "archive-hourly")
+    aqi = D.batch_documents(A.aqi_rows(spark, sf), P.AQI, "archive-aqi-hourly")
+    return land_as_table(daily.unionByName(hourly).unionByName(aqi))
+
+
+def _load_all(warehouse: Warehouse, landing: DataFrame, start: date, end: date) -> None:
+    for kind in _ROWS:
+        run_etl(warehouse, landing, f"historical-{kind}", start=start, end=end)
+
+
+@job_query
+def release_manifest(spark, sf):
+    """The manifest of a first release, found by the pointer and read as a table."""
+    start, end = _range(spark, sf, P.HOURLY)
+    warehouse = _new_warehouse(spark, sf, start, end)
+    _load_all(warehouse, _landed_events(spark, sf), start, end)
+    store = ReleaseStore(spark, fresh_folder(spark, "releases"))
+    bootstrap(warehouse, store, "warehouse")
+    listed = read_manifest(spark, store.at(store.read_latest()[0]["manifest_key"]))
+    return listed.select("name", "row_count", "min_date", "max_date")
+
+
+@job_query
+def release_publish(spark, sf):
+    """A first release, the days after it published by a second, and the current CSV copy."""
+    start, end = _range(spark, sf, P.HOURLY)
+    warehouse = _new_warehouse(spark, sf, start, end)
+    landing = _landed_events(spark, sf)
+    store = ReleaseStore(spark, fresh_folder(spark, "releases"))
+    moment = datetime.combine(end, datetime.min.time(), timezone.utc)
+    _load_all(warehouse, landing, start, FIRST_RELEASE_END)
+    bootstrap(warehouse, store, "warehouse", now=moment)
+    _load_all(warehouse, landing, FIRST_RELEASE_END + timedelta(days=1), end)
+    manifest = publish(warehouse, store, "warehouse", target=end, now=moment + timedelta(days=1))
+    store.verify(manifest)
+
+    def current(spec):
+        return read_release_csv(spark, store.at(f"{CURRENT}/{spec.name}.csv"), spec)
+
+    rows = current(FACT_HOURLY).join(
+        current(DIM_HOUR).select("hour_key", "observed_at"), "hour_key"
+    )
+    return _plain(
+        rows.select("district_id", "observed_at", *[r.measure for r in A.HOURLY_RECIPES])
+    )

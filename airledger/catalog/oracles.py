@@ -704,3 +704,62 @@ ORACLES["etl_failures"] = _with(
   'Failed to read data for district ' || district_name AS message
 FROM inside WHERE district_id NOT IN (SELECT user_id FROM events)""",
 )
+
+# -- release jobs --------------------------------------------------------------------------
+
+
+def _released(name: str) -> str:
+    if name == "weather_code":
+        return f"CAST({name} AS BIGINT) AS {name}"
+    return f"CAST(CAST(CAST({name} AS REAL) AS VARCHAR) AS DOUBLE) AS {name}"
+
+
+ORACLES["release_publish"] = _job(
+    _HOURLY, R.HOURLY_RULES, HOURLY,
+    f"""SELECT CAST(district_id AS BIGINT) AS district_id, observed_at,
+  {", ".join(_released(n) for n in HOURLY)} FROM good WHERE passes""",
+)
+
+
+def _good(name: str, rules, names: list[str]) -> str:
+    used = [r for r in rules if r.field in names]
+    return f"""good_{name} AS (SELECT f.* FROM {name} f JOIN inside USING (district_id)
+  WHERE NOT {_any(used)})"""
+
+
+_DAILY_OF_EVENTS = f"""day_base AS (
+  SELECT CAST(user_id AS INTEGER) AS district_id, CAST(ts AS DATE) AS observed_date,
+         CAST(sum({_cents("value")}) AS BIGINT) AS cents FROM events GROUP BY 1, 2),
+daily AS (SELECT district_id, observed_date, {_measures(DAILY_RECIPES)} FROM day_base)"""
+ORACLES["release_manifest"] = _with(
+    DISTRICTS,
+    _INSIDE,
+    DATES,
+    _DAILY_OF_EVENTS,
+    _hour_source("hourly", HOURLY_RECIPES),
+    _hour_source("aqi", AQI_RECIPES),
+    _good("daily", R.DAILY_RULES, DAILY),
+    _good("hourly", R.HOURLY_RULES, HOURLY),
+    _good("aqi", R.AQI_RULES, AQI),
+    """hours AS (SELECT DISTINCT observed_at, CAST(observed_at AS DATE) AS observed_date
+  FROM (SELECT observed_at FROM good_hourly UNION ALL SELECT observed_at FROM good_aqi))""",
+    "stats AS (\n"
+    + "\nUNION ALL\n".join(
+        [
+            _stat("dim_district", "inside", None),
+            _stat("dim_date", "dates", '"date"'),
+            _stat("dim_hour", "hours", "observed_date"),
+            _stat("fact_weather_daily", "good_daily", "observed_date"),
+            _stat("fact_weather_hourly", "good_hourly", None),
+            _stat("fact_aqi_hourly", "good_aqi", None),
+        ]
+    )
+    + ")",
+    """ranged AS (SELECT s.name, s.row_count,
+  CASE WHEN s.name IN ('fact_weather_hourly', 'fact_aqi_hourly') THEN h.min_date
+       ELSE s.min_date END AS min_date,
+  CASE WHEN s.name IN ('fact_weather_hourly', 'fact_aqi_hourly') THEN h.max_date
+       ELSE s.max_date END AS max_date
+  FROM stats s, (SELECT * FROM stats WHERE name = 'dim_hour') h)""",
+    then="SELECT * FROM ranged",
+)
