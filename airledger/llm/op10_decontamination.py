@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airledger.llm import hashing as H
-from airledger.llm.tables import read, ship_code, staged
+from airledger.llm.tables import passing, read, ship_code, staged
 
 WINDOW = 10
 PHRASES = 400_000
@@ -331,6 +331,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Texts without a finding stay as they are, also null ones. A text cut to nothing but white
     space goes, with its row.
     """
+    return passing(docs, lambda d: _cut(d, benchmark))
+
+
+def _cut(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spans = F.col("_byte_spans")
     data = F.encode("text", "UTF-8")
     # What lies between the spans, and after the last one.

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airledger.llm.mapping import with_columns
-from airledger.llm.tables import read, staged
+from airledger.llm.tables import passing, read, staged
 
 TRAIN_ROWS, FEATURES, LEAST_DOCS, LEAST_EVIDENCE = 20_000, 2_000, 8, 3.0
 GRADES = 4
@@ -173,8 +173,12 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose expected severity stays below ``LEAST_SEVERITY``, columns unchanged."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     mark = T.StructField("_toxic", T.BooleanType())
-    rows = with_columns(docs, [mark], lambda text: (sent.value.scores(text)[3],))
-    return rows.where("not _toxic").select(docs.columns)
+
+    def left(docs):
+        rows = with_columns(docs, [mark], lambda text: (sent.value.scores(text)[3],))
+        return rows.where("not _toxic").drop("_toxic")
+
+    return passing(docs, left)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from airledger.llm import hashing as H
 from airledger.llm.blocks import BLOCK_BYTES, Answers, Block, BlockTable
 from airledger.llm.components import components
-from airledger.llm.tables import read, staged, texts
+from airledger.llm.tables import passing, read, staged, texts
 
 SHINGLE = 5
 SKETCH = 128
@@ -321,14 +321,17 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
         .where("stays")
     )
     staying = staged(staying, "staying").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("_key", F.xxhash64(text)).join(
-        staying,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")),
-    )
-    if not staying.where("copies > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id", "_key"])
-    return rows.select(*[docs[c] for c in docs.columns])
+    repeated = not staying.where("copies > 1").isEmpty()
+
+    def left(docs):
+        text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
+        rows = docs.withColumn("_key", F.xxhash64(text)).join(staying, same)
+        if repeated:
+            rows = rows.dropDuplicates(["doc_id", "_key"])
+        return rows.select(*docs.columns)
+
+    return passing(docs, left)
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,8 @@ from airledger.llm.tables import read, ship_code
 
 TOKENIZER = "word_bpe_49k.json"
 WORDS_KEPT, PAIRS_KEPT = 100_000, 200_000
+#: Longer words are encoded each time, so that what is kept stays small on any text.
+LONGEST_KEPT = 64
 ROWS_AT_ONCE = 256
 _END = "\x00"
 _NEVER = 1 << 60
@@ -144,7 +146,9 @@ class Bpe:
             if code is None:
                 if len(words) >= WORDS_KEPT:
                     words.clear()
-                code = words[word] = np.array(self.encode_word(word), "<u4").tobytes()
+                code = np.array(self.encode_word(word), "<u4").tobytes()
+                if len(word) <= LONGEST_KEPT:
+                    words[word] = code
             out.append(code)
         return out
 

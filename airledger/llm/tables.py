@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,3 +55,17 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         *more,
     )
+
+
+def passing(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)``, all columns but doc_id, text and n_chars being named by place meanwhile.
+
+    So no column of ``docs`` can clash with one that ``work`` makes for itself, whatever it is
+    called. Columns that ``work`` adds come last.
+    """
+    names = docs.columns
+    own = ("doc_id", "text", "n_chars")
+    inside = [c if c in own else f"passed{i}" for i, c in enumerate(names)]
+    found = work(docs.toDF(*inside))
+    added = [c for c in found.columns if c not in inside]
+    return found.select(*inside, *added).toDF(*names, *added)

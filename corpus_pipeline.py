@@ -16,7 +16,7 @@ from airledger.llm.op3_minhash_dedup import without_near_duplicates
 from airledger.llm.op5_secrets import redacted
 from airledger.llm.op7_bpe import encoded
 from airledger.llm.op10_decontamination import decontaminated
-from airledger.llm.tables import read, staged
+from airledger.llm.tables import passing, read, staged
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = encoded(docs)
+    rows = passing(docs.drop("ids", "n_tokens"), encoded)
     return rows.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 

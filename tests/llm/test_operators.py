@@ -300,6 +300,102 @@ def test_empty_tables(docs):
         assert df.count() == 0
 
 
+def corpus():
+    """Clean, toxic and copied texts, secrets and passages of ``ITEM`` beside the odd rows."""
+    found = [(i, t) for i, t in enumerate(texts())]
+    found += [found[0], (None, "lost words here"), found[4]]
+    for i in range(100, 180):
+        text = prose(i, 60) + (" vile" if i % 5 == 0 else "")
+        if i % 7 == 0:
+            text = f"Ünï {ITEM.upper()}; {text}"
+        if i % 11 == 0:
+            text += f" \napi_key = Zx81kkQ0pP{i}\nend É"
+        found.append((i, text))
+        if i % 13 == 0:
+            found.append((i + 1000, text + " tail"))
+    return [*found, (400, ITEM), (401, f"{ITEM}!"), (402, "see " + ITEM)]
+
+
+ITEM = prose(4, 12)
+#: Names that operators use for columns of their own, and one that has to be quoted.
+CLASHES = ["_text", "_source", "_key", "_id", "_hash", "_hit", "_kept", "_items", "_redacted", "_toxic", "a.b"]
+
+
+def cut(text, item):
+    """``text`` without words inside a window of ``item``, from the first word to the last."""
+    found = list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER)))
+    own, parts = item.split(), [m[0] for m in found]
+    windows = {tuple(own[i : i + 10]) for i in range(len(own) - 9)}
+    hit = [False] * len(parts)
+    for at in range(len(parts) - 9):
+        if tuple(parts[at : at + 10]) in windows:
+            hit[at : at + 10] = [True] * 10
+    out, at, place = "", 0, 0
+    while at < len(parts):
+        end = at
+        while end < len(parts) and hit[end]:
+            end += 1
+        if end > at:
+            out, place = out + text[place : found[at].start()], found[end - 1].end()
+        at = end + 1 if end == at else end
+    return (out + text[place:] if any(hit) else text), any(hit)
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(bpe.public_tokenizers.path(bpe.TOKENIZER))
+    made = corpus()
+    # The number of characters is 7 where no stage changes the text.
+    frame = spark.createDataFrame(
+        [(i, t, "en", "s", 7, *([f"{i}"] * len(CLASHES))) for i, t in made],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+        + ", ".join(f"`{c}` string" for c in CLASHES),
+    )
+    frame.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame(
+        [(i, 1, int(i % 5 == 0)) for i in range(100, 180)], "doc_id bigint, quality int, toxic int"
+    )
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    bench = spark.createDataFrame([(1, ITEM), (2, None)], "item_id bigint, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    model = tox.fit(frame, labels)
+    left = [r for r in made if not model.scores(r[1])[3]]
+    assert {i for i, _ in made} - {i for i, _ in left} >= {*range(100, 180, 5)}
+    staying = {}
+    for (i, text), (_, n, component, _) in zip(left, components_of(left)):
+        # Empty sets and groups without an id are told apart by their rows.
+        group = (component, n > 0) if n and component is not None else (i, text or "")
+        if group not in staying or (i is None, i or 0) < (staying[group][0] is None, staying[group][0] or 0):
+            staying[group] = i, text
+    expected = []
+    for i, text in staying.values():
+        new, hit = cut(text, ITEM)
+        if hit and not words(new):
+            continue
+        new = sec.redact(new, sec.spans_of(new)) if new else new
+        ids = library.encode(new or "", add_special_tokens=False).ids
+        size = 7 if new == text else len(new)
+        expected.append((i, new, "en", "s", size, struct.pack(f"<{len(ids)}I", *ids), len(ids)))
+    assert any("REDACTED" in (r[1] or "") for r in expected) and not {400} & {r[0] for r in expected}
+
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    assert result.columns == [*frame.columns, "ids", "n_tokens"]
+    kept = ["doc_id", "text", "lang", "source", "n_chars", "ids", "n_tokens"]
+    found = [(*r[:5], bytes(r[5]), r[6]) for r in result.select(kept).collect()]
+    assert bag(found) == bag(expected)
+    assert result.where("not `a.b` <=> coalesce(string(doc_id), 'None')").isEmpty()
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, ids int"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    assert result.count() == 0 and dict(result.dtypes)["ids"] == "binary"
+
+
 def test_pipeline(spark, tmp_path, rows):
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(0, 1, 0), (9, 0, 1)], "doc_id bigint, quality int, toxic int").write.parquet(
