@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airledger.llm.tables import ship_code
+from airledger.llm.tables import freed_shuffles, ship_code
 from airledger.session import fresh_folder
 from airledger.sources.files import delete_path
 
@@ -248,9 +248,9 @@ class BlockTable:
             PACK_SCHEMA,
         )
         path = f"{self.root}/answers-{level}"
-        packs.groupBy("bucket").applyInArrow(
-            _answer(level, short, order), ANSWER_SCHEMA
-        ).write.option("compression", "zstd").parquet(path)
+        answers = packs.groupBy("bucket").applyInArrow(_answer(level, short, order), ANSWER_SCHEMA)
+        with freed_shuffles(self.spark):
+            answers.write.option("compression", "zstd").parquet(path)
         got = self.spark.read.schema(ANSWER_SCHEMA).parquet(path)
         self.answers = got if self.answers is None else self.answers.unionByName(got)
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airledger.llm.tables import staged
+from airledger.llm.tables import freed_shuffles
+from airledger.session import Staging
+from airledger.sources.files import delete_path
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,25 +16,36 @@ def components(edges: DataFrame) -> DataFrame:
     Each round links the neighbours of a node to their least one, first the larger ones, then
     the smaller ones, until every edge joins a node to the least of its component. Rounds grow
     with the logarithm of the longest chain. Minima are aggregated before they are shuffled,
-    and joins may split a hub, so a node with a third of all edges is no bottleneck.
+    and joins may split a hub, so a node with a third of all edges is no bottleneck. Edges of
+    earlier rounds are deleted.
     """
-    now = staged(_ordered(edges), "edges")
+    spark = edges.sparkSession
+    area = Staging(spark, "edges")
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        with freed_shuffles(spark):
+            return area.put(_ordered(df), name)
+
+    number = 0
+    now = put(edges, "0")
     while True:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         large = both.join(least, "a").where("b > a").select("b", F.least("a", "m").alias("m"))
         large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(_ordered(large), "edges")
+        large = put(large, f"{number}-large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         linked = large.join(least, "a")
         small = linked.select("b", "m").union(linked.select(F.col("a"), F.col("m")))
         small = small.toDF("a", "b")
-        after = staged(_ordered(small), "edges")
+        after = put(small, f"{number + 1}")
         if after.count() == now.count() and after.exceptAll(now).isEmpty():
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 now.select("b", "b").distinct()
             )
-        now = after
+        for done in (f"{number}", f"{number}-large"):
+            delete_path(spark, f"{area.root}/{done}")
+        now, number = after, number + 1
 
 
 def _ordered(edges: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +44,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes inside drop their shuffle files when they are done, instead of whenever the driver
+    collects garbage: what is written needs them no more."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends, executors may be lost."""
-    return Staging(df.sparkSession, label).put(df, "rows")
+    with freed_shuffles(df.sparkSession):
+        return Staging(df.sparkSession, label).put(df, "rows")
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
