@@ -11,6 +11,11 @@ from airledger.llm.op6_substring_dedup import op6_substring_dedup
 from airledger.llm.op7_bpe import op7_bpe
 from airledger.llm.op8_quality import op8_quality
 from airledger.llm.op10_decontamination import op10_decontamination
+from airledger.llm.op11_simhash_dedup import op11_simhash_dedup
+from airledger.llm.op12_prefix_trie import ORACLE_SQL as PREFIX_TRIE_SQL
+from airledger.llm.op12_prefix_trie import op12_prefix_trie
+from airledger.llm.op13_centroid_clustering import ORACLE_SQL as CENTROIDS_SQL
+from airledger.llm.op13_centroid_clustering import op13_centroid_clustering
 from airledger.llm.op9_quality_rules import ORACLE_SQL as QUALITY_RULES_SQL
 from airledger.llm.op9_quality_rules import op9_quality_rules
 
@@ -25,5 +30,12 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_simhash_dedup": op11_simhash_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_centroid_clustering": op13_centroid_clustering,
+}
+ORACLES = {
+    "op9_quality_rules": QUALITY_RULES_SQL,
+    "op12_prefix_trie": PREFIX_TRIE_SQL,
+    "op13_centroid_clustering": CENTROIDS_SQL,
 }
-ORACLES = {"op9_quality_rules": QUALITY_RULES_SQL}
