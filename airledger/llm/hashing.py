@@ -1,6 +1,7 @@
 """Polynomial fingerprints of byte and word windows, computed with numpy inside tasks.
 
-A window ``x[0..w)`` has the fingerprint ``sum(V[x[j]] * M**j) mod 2**64`` after a final mix.
+Words of more than ``SHORT_WORD`` bytes are named by XXH3 instead: modulo 2**64, long words can be
+written whose polynomials agree whatever the multiplier. A window ``x[0..w)`` has the fingerprint ``sum(V[x[j]] * M**j) mod 2**64`` after a final mix.
 Values and multiplier follow from a seed by a rule, so all tasks agree on them. Windows of
 one array come from differences of prefix sums, one addition and two products each.
 """
@@ -8,7 +9,9 @@ one array come from differences of prefix sums, one addition and two products ea
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
+SHORT_WORD = 16
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -23,6 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_GOLDEN))
 _M = int(BYTE_VALUES[77]) | 1
+_WORD_SEED = int(BYTE_VALUES[211])
 _M_INVERSE = pow(_M, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
@@ -85,6 +89,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         s, e = starts[lo : lo + (1 << 18)], ends[lo : lo + (1 << 18)]
         sums = prefix_sums(BYTE_VALUES[data[s[0] : e[-1]]])
         out[lo : lo + len(s)] = spans(sums, s - s[0], e - s[0])
+    for i in np.flatnonzero(ends - starts > SHORT_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]], _WORD_SEED)
     return out
 
 

@@ -312,24 +312,26 @@ def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component stays, its least doc_id's; columns unchanged.
 
-    Rows are told apart by doc_id and text. Of rows that share both, any one stays.
+    Rows without a word are linked with nothing, so every one of them stays. Others are told
+    apart by doc_id and text; of rows that share both, any one stays.
     """
-    staying = (
-        near_duplicates(docs)
-        .groupBy("doc_id", "text_hash")
-        .agg(F.max("stays").alias("stays"), F.count("*").alias("copies"))
-        .where("stays")
-    )
-    staying = staged(staying, "staying").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    repeated = not staying.where("copies > 1").isEmpty()
 
     def left(docs):
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+        some = text.rlike(r"[^\x20\x09-\x0D]")
+        staying = (
+            near_duplicates(docs.where(some))
+            .groupBy("doc_id", "text_hash")
+            .agg(F.max("stays").alias("stays"), F.count("*").alias("copies"))
+            .where("stays")
+        )
+        staying = staged(staying, "staying")
+        staying = staying.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
         same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
-        rows = docs.withColumn("_key", F.xxhash64(text)).join(staying, same)
-        if repeated:
+        rows = docs.where(some).withColumn("_key", F.xxhash64(text)).join(staying, same)
+        if not staying.where("copies > 1").isEmpty():
             rows = rows.dropDuplicates(["doc_id", "_key"])
-        return rows.select(*docs.columns)
+        return rows.select(*docs.columns).unionByName(docs.where(~some))
 
     return passing(docs, left)
 

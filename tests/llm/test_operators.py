@@ -363,9 +363,9 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     left = [r for r in made if not model.scores(r[1])[3]]
     assert {i for i, _ in made} - {i for i, _ in left} >= {*range(100, 180, 5)}
     staying = {}
-    for (i, text), (_, n, component, _) in zip(left, components_of(left)):
-        # Empty sets and groups without an id are told apart by their rows.
-        group = (component, n > 0) if n and component is not None else (i, text or "")
+    for place, ((i, text), (_, n, component, _)) in enumerate(zip(left, components_of(left))):
+        # Rows without a word all stay; groups without an id are told apart by their texts.
+        group = (component,) if n and component is not None else (i, text) if n else place
         if group not in staying or (i is None, i or 0) < (staying[group][0] is None, staying[group][0] or 0):
             staying[group] = i, text
     expected = []
