@@ -1,14 +1,21 @@
 """Secret scans by assignment-aware lexing, beside fixed patterns.
 
 Method: source and configuration text is lexed into name-literal pairs: a name, bare or
-quoted, an assignment sign (``=``, ``:=``, ``:``, ``=>``) and a value made of quoted or bare
-literals and earlier names joined by ``+``. Names bind constants in the order of the text, so
-a literal given to a harmless name counts for the sensitive name it is later assigned to. A
-pair's score comes from how sensitive the words of its target name are and from how much the
-value looks like key material; the literals of pairs that score enough are spans of kind
+quoted, an optional type annotation, an assignment sign (``=``, ``:=``, ``:``, ``=>``) and a
+value made of quoted or bare literals and earlier names joined by ``+``. Quoted literals may
+hold escapes, and literals are as long as they are. Names bind constants in the order of the
+text, so a literal given to a harmless name counts for the sensitive name it is later assigned
+to. A pair's score comes from how sensitive the words of its target name are and from how much
+the value looks like key material; the literals of pairs that score enough are spans of kind
 ``literal``. They add to the fixed patterns, which stay as they are.
 
-A task reads one text at a time; nothing is shuffled.
+A task reads one text at a time; nothing is shuffled. Joined values keep character counts and
+links to their parts instead of text, so the work stays near the length of the text however
+often constants are joined.
+
+Odd rows: a null or empty text has no spans. Repeated rows are scanned one by one, an empty
+table gives an empty result. Other columns pass through, whatever their names; those the query
+adds (``n_assign`` and so on) are replaced.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +36,8 @@ from airledger.llm.tables import passing, read
 KINDS = ("assign", "access", "hex", "literal")
 MASK = "[REDACTED]"
 LEAST_SCORE = 1.0
+LEAST_VALUE = 0.3
+_LOWER, _UPPER, _DIGITS = map(frozenset, (string.ascii_lowercase, string.ascii_uppercase, string.digits))
 # The three patterns every scan has to report.
 _ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -37,11 +47,12 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _TARGET = re.compile(
-    r"(?<![\w.-])([\"']?)([A-Za-z_][\w.-]*)\1[ \t]*(?::=|=>|[:=])(?![=>])[ \t]*", re.ASCII
+    r"(?<![\w.-])([\"']?)([A-Za-z_][\w.-]*)\1[ \t]*"
+    r"(?::[ \t]*(?P<kind>[A-Za-z_][\w.]*(?:\[[^\]\n]*\])?)[ \t]*=(?![=>])|(?::=|=>|[:=])(?![=>]))[ \t]*",
+    re.ASCII,
 )
-# A literal of more than 512 characters is no credential.
 _TERM = re.compile(
-    r"\"([^\"\\\n]{0,512})\"|'([^'\\\n]{0,512})'|([^\s\"'`,;(){}\[\]<>+]{1,512})(?![^\s\"'`,;(){}\[\]<>+])"
+    r"\"((?:[^\"\\\n]|\\.)*+)\"|'((?:[^'\\\n]|\\.)*+)'|([^\s\"'`,;(){}\[\]<>+]++)"
 )
 _PLUS = re.compile(r"[ \t]*\+[ \t]*")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -58,49 +69,90 @@ def name_score(name: str) -> float:
     return sum(_SENSITIVE.get(w.lower(), 0.0) for w in _WORDS.findall(name))
 
 
-def value_score(value: str) -> float:
-    """0 to 1 for length, variety and mixture of character classes; spaces speak against."""
-    if len(value) < 8 or " " in value:
-        return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / 4) * (0.5 + 0.25 * min(classes - 1, 2))
+class Value:
+    """A literal, or several joined: how often it holds which character, and its places."""
+
+    __slots__ = ("counts", "length", "span", "parts", "reported")
+
+    def __init__(self, counts: Counter, length: int, span=None, parts=()) -> None:
+        self.counts, self.length, self.span, self.parts = counts, length, span, parts
+        self.reported = False
+
+    def joined(self, other: Value) -> Value:
+        return Value(self.counts + other.counts, self.length + other.length, None, (self, other))
+
+    def score(self) -> float:
+        """0 to 1 for length, variety and mixture of character classes; spaces speak against."""
+        if self.length < 8:
+            return 0.0
+        shares = [n / self.length for n in self.counts.values()]
+        entropy = -sum(p * math.log2(p) for p in shares)
+        kinds = {
+            "a" if c in _LOWER else "A" if c in _UPPER else "0" if c in _DIGITS else "#"
+            for c in self.counts
+        }
+        spaced = max(0.0, 1 - 4 * self.counts[" "] / self.length)
+        return min(1.0, entropy / 4) * (0.5 + 0.25 * min(len(kinds) - 1, 2)) * spaced
+
+    def report(self, found: set[tuple[int, int]]) -> None:
+        """Add the places of all parts, each part once in its life."""
+        todo = [self]
+        while todo:
+            value = todo.pop()
+            if not value.reported:
+                value.reported = True
+                todo.extend(value.parts)
+                if value.span:
+                    found.add(value.span)
+
+
+def value_score(text: str) -> float:
+    return Value(Counter(text), len(text)).score()
 
 
 def lexed(text: str) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, in order, without repeats."""
     if "=" not in text and ":" not in text:
         return []
-    constants: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
+    constants: dict[str, Value | tuple[int, int]] = {}
     found: set[tuple[int, int]] = set()
+
+    def of(known: Value | tuple[int, int]) -> Value:
+        if isinstance(known, Value):
+            return known
+        start, end = known
+        return Value(Counter(text[start:end]), end - start, known)
+
     at = 0
     while target := _TARGET.search(text, at):
-        at = target.end()
-        value, places = "", ()
-        here = at
+        # An annotation may be a name of its own, as in a: b=c.
+        at = target.start("kind") if target["kind"] else target.end()
+        value: Value | tuple[int, int] | None = None
+        here = target.end()
         while term := _TERM.match(text, here):
             group = term.lastindex
-            word = term[group]
-            if group == 3 and word in constants:
-                part, where = constants[word]
-                value, places = value + part, places + where
-            else:
-                value, places = value + word, places + (term.span(group),)
+            part: Value | tuple[int, int] = term.span(group)
+            if group == 3:
+                part = constants.get(term[group], part)
+            # A single literal is looked at only if a sensitive name needs it.
+            value = part if value is None else of(value).joined(of(part))
             # The next pair may begin inside a bare value, as in a=b=c.
-            at = term.end() if group < 3 else at
+            at = max(at, term.end()) if group < 3 and not target["kind"] else at
             plus = _PLUS.match(text, term.end())
-            if not plus or len(value) > 512:
+            if not plus:
                 break
             here = plus.end()
-        if not value:
+        if value is None:
             continue
         name = target[2]
-        constants[name] = value, places
         sensitive = name_score(name)
-        if sensitive and sensitive + value_score(value) >= LEAST_SCORE and value_score(value) >= 0.3:
-            found.update(places)
-    return sorted(found)
+        if sensitive:
+            value = of(value)
+            score = value.score()
+            if score >= LEAST_VALUE and sensitive + score >= LEAST_SCORE:
+                value.report(found)
+        constants[name] = value
+    return sorted(span for span in found if span[0] < span[1])
 
 
 def spans_of(text: str) -> list[tuple[int, str, int]]:
@@ -121,22 +173,6 @@ def redact(text: str, spans: list[tuple[int, str, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_secrets``, the spans of each text; a null text has none."""
-    span = T.StructType(
-        [
-            T.StructField("kind", T.StringType()),
-            T.StructField("start", T.LongType()),
-            T.StructField("end", T.LongType()),
-        ]
-    )
-
-    def work(text):
-        return ([{"kind": k, "start": s, "end": e} for s, k, e in spans_of(text or "")],)
-
-    return with_columns(docs, [T.StructField("_secrets", T.ArrayType(span))], work)
-
-
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by a mask, ``n_chars`` following; other texts unchanged."""
 
