@@ -11,6 +11,11 @@ hold. Rows are drawn by the hash of their id, ``TRAIN_ROWS`` at most; features a
 with the strongest evidence, ``FEATURES`` at most. Both bounds hold at any size, so that the
 fit on the driver and the broadcast model stay as small. Scoring covers every document, as
 a map without shuffle.
+
+Odd rows: a null or empty text has no features and scores the least severity. Repeated rows
+score alike; rows that share a labelled id are one training row. Words of equal evidence are
+taken in their own order. A very long text costs a pass over it. An empty table gives an empty
+result. Other columns pass through; those of ``FIELDS`` are replaced.
 """
 
 from __future__ import annotations
@@ -109,7 +114,11 @@ def fit_ordinal(
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
-    """``(doc_id, label, features)`` of the labelled rows drawn; an id labelled twice counts as toxic."""
+    """``(doc_id, label, features)`` of the labelled ids drawn, one row each.
+
+    An id labelled twice counts as toxic; of rows that share an id, the one whose text has the
+    least hash is taken.
+    """
     labels = (
         labels.where("doc_id is not null and toxic in (0, 1)")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -117,6 +126,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     )
     drawn = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(drawn), "doc_id")
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    chosen = chosen.groupBy("doc_id", "label").agg(one)
     field = T.StructField("features", T.ArrayType(T.StringType()))
     return with_columns(chosen, [field], lambda text: (features_of(text),)).drop("text")
 
@@ -148,13 +159,16 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
     )
     number = {r["word"]: i for i, r in enumerate(evidence)}
     strength = np.array([max(0.0, r["odds"]) for r in evidence])
-    found_rows, found_columns, marks = [], [], []
-    for i, row in enumerate(rows.select("label", "features").toLocalIterator()):
-        marks.append(row["label"])
-        own = [number[w] for w in row["features"] if w in number]
-        found_rows += [i] * len(own)
-        found_columns += own
-    at, columns, marks = np.array(found_rows, int), np.array(found_columns, int), np.array(marks)
+    spark = rows.sparkSession
+    # At most FEATURES rows.
+    numbers = F.broadcast(spark.createDataFrame([*number.items()], "word string, number int"))
+    drawn = rows.select("doc_id", "label").orderBy("doc_id").toArrow()
+    # Stems count as often as a text has forms of them.
+    held = rows.select("doc_id", F.explode("features").alias("word")).join(numbers, "word").orderBy("doc_id", "number")
+    held = held.select("doc_id", "number").toArrow()
+    marks = drawn["label"].to_numpy()
+    at = np.searchsorted(drawn["doc_id"].to_numpy(), held["doc_id"].to_numpy())
+    columns = held["number"].to_numpy().astype(int)
     mass = np.bincount(at, np.maximum(0, strength[columns] - 1), minlength=len(marks))
     cuts = np.quantile(mass[marks == 1], np.arange(1, GRADES - 1) / (GRADES - 1))
     grades = np.where(marks == 1, 1 + np.searchsorted(cuts, mass, "left"), 0)

@@ -71,7 +71,10 @@ def evidence(rows: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Colu
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    sample = rows.join(F.broadcast(labels), "doc_id").select("label", *MEASURES).limit(2 * most).toArrow()
+    # Of rows that share an id the one with the least measures counts, so a drawn id is one row.
+    least = F.min(F.struct("label", *MEASURES)).alias("least")
+    drawn = rows.join(F.broadcast(labels), "doc_id").groupBy("doc_id").agg(least)
+    sample = drawn.orderBy("doc_id").select("least.*").toArrow()
     y = sample["label"].to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return F.lit(MOST if not len(y) or y[0] else -MOST)
