@@ -339,22 +339,19 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     convs = staged(convs, "conversations")
     path = staged(paths(rebuilt_turns(turns, convs)), "paths")
 
-    counted = path.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n_convs"),
-        F.min("conv_id").alias("conv_id"),
-        F.any_value("parent").alias("parent"),
-        F.any_value("depth").alias("depth"),
-        F.any_value("bytes").alias("bytes"),
+    # A key has one parent, depth and size; as grouping columns they keep the aggregate hashed.
+    counted = path.groupBy("key", "parent", "depth", "bytes").agg(
+        F.count(F.lit(1)).alias("n_convs"), F.min("conv_id").alias("conv_id")
     )
     root = convs.agg(
         F.count(F.lit(1)).alias("n_convs"), F.min("conv_id").alias("conv_id")
     ).where("n_convs > 0").select(
         F.lit(ROOT).alias("key"),
-        "n_convs",
-        "conv_id",
         F.lit(None).cast("binary").alias("parent"),
         F.lit(0).cast("long").alias("depth"),
         F.lit(0).cast("long").alias("bytes"),
+        "n_convs",
+        "conv_id",
     )
     crowded = staged(
         counted.where(F.col("n_convs") > CROWD).unionByName(root), "crowded"
