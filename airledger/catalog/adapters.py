@@ -68,7 +68,7 @@ def districts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def daily_fact(
+def daily_cents(
     spark: SparkSession, sf: str, start: date | None = None, end: date | None = None
 ) -> DataFrame:
     orders = _between(source(spark, sf, "orders"), "o_orderdate", start, end)
@@ -77,7 +77,10 @@ def daily_fact(
         F.col("o_orderdate").cast("date").alias("observed_date"),
         cents("o_totalprice").alias("cents"),
     )
-    summed = keyed.groupBy("district_id", "observed_date").agg(F.sum("cents").alias("cents"))
+    return keyed.groupBy("district_id", "observed_date").agg(F.sum("cents").alias("cents"))
+
+
+def daily_rows(summed: DataFrame) -> DataFrame:
     return summed.select(
         "district_id",
         date_key(F.col("observed_date")).alias("date_key"),
@@ -86,6 +89,12 @@ def daily_fact(
     )
 
 
+def daily_fact(
+    spark: SparkSession, sf: str, start: date | None = None, end: date | None = None
+) -> DataFrame:
+    return daily_rows(daily_cents(spark, sf, start, end))
+
+
 def daily_of_events(spark: SparkSession, sf: str) -> DataFrame:
     """Daily rows that end with the hourly ones: event amounts summed by user and day."""
     keyed = source(spark, sf, "events").select(

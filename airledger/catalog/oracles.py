@@ -571,16 +571,16 @@ ORACLES["release_gate_incomplete"] = _with(
 )
 ORACLES["release_retention"] = """WITH files AS (
   SELECT 'v1/releases/' || strftime(o_orderdate, '%Y%m%d')
-      || CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE 'T181500Z' END
+      || CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE 'T040000Z' END
       || '/analyst/part-' || o_orderkey AS path,
     CASE WHEN o_orderkey % 10 <> 0
-         THEN strftime(o_orderdate, '%Y%m%d') || 'T181500Z' END AS release_id
+         THEN strftime(o_orderdate, '%Y%m%d') || 'T040000Z' END AS release_id
   FROM orders),
 ranked AS (SELECT release_id, row_number() OVER (ORDER BY release_id DESC) AS rn
-  FROM (SELECT DISTINCT release_id FROM files WHERE release_id <= '19990101T181500Z'))
+  FROM (SELECT DISTINCT release_id FROM files WHERE release_id <= '19990101T040000Z'))
 SELECT release_id, path FROM files
 WHERE release_id IN (SELECT release_id FROM ranked WHERE rn > 3)
-  AND release_id <> '19990101T181500Z'"""
+  AND release_id <> '19990101T040000Z'"""
 ORACLES["csv_roundtrip"] = _with(
     _daily_source(),
     then=f"""SELECT CAST(district_id AS BIGINT) AS district_id, CAST(date_key AS BIGINT) AS date_key,
@@ -705,6 +705,71 @@ ORACLES["etl_failures"] = _with(
 FROM inside WHERE district_id NOT IN (SELECT user_id FROM events)""",
 )
 
+# A batch of one district is a document like any other, and a week within it is preferred.
+_OVERLAP_FACT = f"""batches AS (
+  SELECT district_id // 50 AS batch, date_trunc('month', observed_date) AS m,
+         count(DISTINCT district_id) AS members
+  FROM months_base WHERE district_id % 5 = 0 AND day(observed_date) > 3 GROUP BY 1, 2),
+fact AS (
+  SELECT district_id, date_key, observed_date, {_measures(DAILY_RECIPES)}
+  FROM (
+    SELECT district_id, CAST(strftime(observed_date, '%Y%m%d') AS INTEGER) AS date_key,
+           observed_date,
+           cents + CASE
+             WHEN district_id % 5 = 0 AND day(observed_date) > 3
+               AND (members > 1 OR district_id % 3 <> 0 OR day(observed_date) > 7) THEN 2
+             WHEN district_id % 3 = 0 AND day(observed_date) <= 7 THEN 1
+             ELSE 0 END AS cents
+    FROM months_base LEFT JOIN batches
+      ON batch = district_id // 50 AND m = date_trunc('month', observed_date)))"""
+ORACLES["etl_overlap"] = _etl(
+    _daily_source("months") + ",\n" + _OVERLAP_FACT, R.DAILY_RULES, DAILY, "date_key, observed_date"
+)
+_SPOILT = "(district_id % 7 = 0 AND day(observed_at) % 4 = 0)"
+ORACLES["etl_malformed"] = _etl(_HOURLY, R.HOURLY_RULES, HOURLY, "observed_at").replace(
+    "WHERE passes", f"WHERE passes AND NOT {_SPOILT}"
+)
+ORACLES["etl_rejected_documents"] = _job(
+    _HOURLY, R.HOURLY_RULES, HOURLY,
+    f"""SELECT DISTINCT
+  'archive-hourly/' || district_id || '/' || CAST(CAST(observed_at AS DATE) AS VARCHAR) AS doc_id,
+  district_id, 'malformed time: 25 o''clock' AS error, 'WARNING' AS level
+FROM good WHERE {_SPOILT}""",
+)
+ORACLES["etl_forecast"] = _etl(
+    _daily_source("months")
+    + """,
+fact AS (SELECT * FROM (SELECT *, dense_rank() OVER (
+    PARTITION BY district_id ORDER BY date_trunc('month', observed_date) DESC) AS rank FROM months)
+  WHERE rank = CASE WHEN district_id % 8 = 0 THEN 3 WHEN district_id % 4 = 0 THEN 2 ELSE 1 END)""",
+    R.DAILY_RULES, DAILY, "date_key, observed_date",
+)
+
+_REFERENCES = [
+    ("dim_hour", "date_key", "dim_date", "hours",
+     "date_key % 100 = 13 AND hour(observed_at) <> 5"),
+    ("fact_weather_daily", "district_id", "dim_district", "daily", "district_id % 10 = 3"),
+    ("fact_weather_daily", "date_key", "dim_date", "daily", "date_key % 100 = 13"),
+    ("fact_weather_hourly", "district_id", "dim_district", "hourly", "district_id % 10 = 3"),
+    ("fact_weather_hourly", "hour_key", "dim_hour", "hourly", "hour(observed_at) = 5"),
+    ("fact_aqi_hourly", "district_id", "dim_district", "odd", "district_id % 10 = 3"),
+    ("fact_aqi_hourly", "hour_key", "dim_hour", "odd", "hour(observed_at) = 5"),
+]
+ORACLES["foreign_keys"] = _with(
+    HOURS,
+    _daily_source(),
+    _hour_source("hourly_rows", HOURLY_RECIPES),
+    _hour_source("aqi_rows", AQI_RECIPES),
+    "hourly AS (SELECT * FROM hourly_rows JOIN hours USING (observed_at))",
+    "odd AS (SELECT * FROM aqi_rows JOIN hours USING (observed_at) WHERE district_id % 2 = 1)",
+    then="\nUNION ALL\n".join(
+        f"""SELECT '{child}' AS child_table, '{column}' AS child_column,
+  '{parent}' AS parent_table, CAST({column} AS BIGINT) AS value, count(*) AS "rows"
+FROM {source} WHERE {lost} GROUP BY {column}"""
+        for child, column, parent, source, lost in _REFERENCES
+    ),
+)
+
 # -- release jobs --------------------------------------------------------------------------
 
 
@@ -763,3 +828,128 @@ ORACLES["release_manifest"] = _with(
   FROM stats s, (SELECT * FROM stats WHERE name = 'dim_hour') h)""",
     then="SELECT * FROM ranged",
 )
+
+ORACLES["release_summary"] = ORACLES["release_manifest"].replace(
+    "SELECT * FROM ranged", "SELECT name, row_count AS \"rows\", TRUE AS has_files, max_date FROM ranged"
+)
+ORACLES["catch_up_release"] = _job(
+    _AQI, R.AQI_RULES, AQI,
+    f"""SELECT CAST(district_id AS BIGINT) AS district_id, observed_at,
+  {", ".join(_released(n) for n in AQI)} FROM good WHERE passes""",
+)
+ORACLES["backfill_repair"] = _job(
+    _HOURLY, R.HOURLY_RULES, HOURLY,
+    f"""SELECT CAST(district_id AS BIGINT) AS district_id, observed_at,
+  {_released("temperature_2m")},
+  CASE WHEN CAST(observed_at AS DATE) BETWEEN DATE '2024-01-11' AND DATE '2024-01-20'
+       THEN CAST(CAST(CAST(wind_direction_10m AS REAL) AS VARCHAR) AS DOUBLE)
+  END AS wind_direction_10m FROM good WHERE passes""",
+)
+
+# -- histories, seeds, order, verification ----------------------------------------------------
+
+_PASSES = "NOT " + _any([r for r in R.DAILY_RULES if r.field in DAILY])
+ORACLES["history_skip"] = _with(
+    _daily_source("months"),
+    DISTRICTS,
+    _INSIDE,
+    f"""changed AS (SELECT district_id, observed_date, {_measures(DAILY_RECIPES)}
+  FROM (SELECT district_id, observed_date, cents + 1 AS cents FROM months_base))""",
+    f"""before AS (SELECT m.* FROM months m JOIN inside USING (district_id)
+  WHERE district_id % 2 = 0 AND {_PASSES})""",
+    f"""after AS (SELECT c.* FROM changed c JOIN inside USING (district_id)
+  WHERE {_PASSES} AND district_id NOT IN (SELECT district_id FROM before))""",
+    f"""loaded AS (SELECT district_id, observed_date, {_cols(DAILY)} FROM before
+  UNION ALL SELECT district_id, observed_date, {_cols(DAILY)} FROM after)""",
+    then=f"""SELECT district_id, CAST(strftime(observed_date, '%Y%m%d') AS INTEGER) AS date_key,
+  observed_date, {", ".join(_narrow(n) for n in DAILY)} FROM loaded""",
+)
+ORACLES["seed_from_csv"] = _with(DISTRICTS, _INSIDE, then="SELECT * FROM inside")
+ORACLES["sync_summary"] = _job(
+    _daily_as_fact(), R.DAILY_RULES, DAILY,
+    """SELECT name, n AS rows_read, n AS rows_upserted FROM (
+  SELECT 'dim_district' AS name, (SELECT count(*) FROM inside) AS n
+  UNION ALL SELECT 'fact_weather_daily',
+    (SELECT count(*) FROM good WHERE passes AND observed_date > DATE '1999-12-31')
+  UNION ALL VALUES ('dim_date', 0), ('dim_hour', 0), ('fact_weather_hourly', 0),
+    ('fact_aqi_hourly', 0))""",
+)
+ORACLES["export_order"] = _with(
+    _daily_source(),
+    then="""SELECT district_id, date_key,
+  row_number() OVER (ORDER BY district_id, date_key) AS ordinal FROM daily""",
+)
+ORACLES["read_order"] = _with(
+    _daily_source(),
+    then="""SELECT district_id, observed_date,
+  row_number() OVER (ORDER BY observed_date, district_id) AS ordinal FROM daily
+WHERE observed_date BETWEEN DATE '1996-03-01' AND DATE '1999-06-30'""",
+)
+_BLOCKS = """lines AS (
+  SELECT c_custkey // 100 AS block, c_custkey,
+         c_custkey || ',' || c_name || ',' || c_mktsegment || chr(10) AS line FROM customer),
+blocks AS (SELECT block, string_agg(line, '' ORDER BY c_custkey) AS body FROM lines GROUP BY block)"""
+ORACLES["release_inventory"] = _with(
+    _BLOCKS,
+    then="""SELECT 'table=block-' || block AS name, 'csv' AS format,
+  strlen(body) AS length, sha256(body) AS sha256 FROM blocks""",
+)
+ORACLES["release_verify_tampered"] = _with(
+    _BLOCKS,
+    then="""SELECT 'table=block-' || block AS name, 'csv' AS format, 'changed' AS problem FROM lines
+WHERE block % 5 = 1 AND c_custkey % 100 = 7
+UNION ALL SELECT 'table=block-' || block, 'csv', 'missing' FROM blocks WHERE block % 5 = 2
+UNION ALL SELECT 'table=block-' || (block + 10000000), 'csv', 'unexpected' FROM blocks
+WHERE block % 5 = 3""",
+)
+ORACLES["run_types"] = _with(
+    _RUNS,
+    then="""SELECT run_type, count(*) AS runs, CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
+  count(*) FILTER (WHERE status <> 'completed') AS not_completed FROM recent GROUP BY run_type""",
+)
+ORACLES["run_catchup_flags"] = _with(
+    _RUNS,
+    "flags AS (SELECT * FROM (VALUES (TRUE), (FALSE)) a(scheduled), "
+    "(VALUES (TRUE), (FALSE)) b(job_succeeded), (VALUES (TRUE), (FALSE)) c(error))",
+    """counted AS (
+  SELECT 'all' AS "window", count(*) AS runs,
+         count(*) FILTER (WHERE status <> 'completed') AS bad, '2024-01-09' AS day FROM recent
+  UNION ALL SELECT 'completed', count(*), 0, '2024-01-09' FROM recent WHERE status = 'completed'
+  UNION ALL SELECT 'none', 0, 0, '2089-12-31')""",
+    """judged AS (SELECT *, scheduled AND (NOT job_succeeded OR error OR bad > 0 OR runs = 0) AS needed
+  FROM counted, flags)""",
+    then="""SELECT "window", scheduled, job_succeeded, error, needed,
+  CASE WHEN needed THEN day END AS catchup_date FROM judged""",
+)
+_JOBS = """jobs AS (
+  SELECT CAST(CAST(ts AS DATE) AS VARCHAR) || '/' || event_type AS job_id, event_type,
+         min(ts) AS first, max(ts) AS last, count(*) AS events
+  FROM events WHERE ts >= TIMESTAMP '2024-01-12' GROUP BY CAST(ts AS DATE), event_type),
+reported AS (SELECT * FROM jobs WHERE event_type <> 'view'),
+since AS (SELECT min(first) AS moment FROM reported),
+window_runs AS (SELECT runs.* FROM runs, since WHERE started_at >= moment)"""
+ORACLES["job_reports"] = _with(
+    _RUNS, _JOBS,
+    then="""SELECT job_id, CASE WHEN events % 2 = 0 THEN 'success' ELSE 'failure' END AS status,
+  strftime(first, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS started_at_utc,
+  strftime(last, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS finished_at_utc,
+  events AS duration_seconds FROM reported""",
+)
+ORACLES["workflow_report"] = _with(
+    _RUNS, _JOBS,
+    then=ORACLES["run_report"][ORACLES["run_report"].rindex("SELECT etl_run_id"):].replace(
+        "FROM recent", "FROM window_runs"
+    ),
+)
+ORACLES["workflow_totals"] = _with(
+    _RUNS, _JOBS,
+    then="""SELECT run_type, count(*) AS runs, CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
+  count(*) FILTER (WHERE status <> 'completed') AS not_completed,
+  (SELECT count(*) = 0 OR count(*) FILTER (WHERE status <> 'completed') > 0 FROM window_runs)
+    AS needed,
+  CASE WHEN (SELECT count(*) = 0 OR count(*) FILTER (WHERE status <> 'completed') > 0
+             FROM window_runs)
+       THEN (SELECT CAST(CAST(moment + INTERVAL 7 HOUR AS DATE) - 1 AS VARCHAR) FROM since) END
+    AS catchup_date
+FROM window_runs GROUP BY run_type""",
+)

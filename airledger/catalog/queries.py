@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import reduce
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from airledger.catalog import adapters as A
 from airledger.catalog import documents as D
 from airledger.catalog.jobs import JOB_QUERIES
 from airledger.functions.rules import RangeRule
-from airledger.functions.temporal import instant_of_wall_clock, start_of_hour
+from airledger.functions.temporal import instant_of_wall_clock, local_wall_clock, start_of_hour
 from airledger.operators import districts as O
 from airledger.operators import hours as H
 from airledger.operators import monitoring as M
@@ -21,8 +23,11 @@ from airledger.operators import quality as Q
 from airledger.operators import reads as R
 from airledger.operators import snapshot as N
 from airledger.operators.calendar import calendar_between
+from airledger.operators.integrity import foreign_key_orphans
 from airledger.operators.merge import fold_delta, new_rows, replace_delta
+from airledger.operators.ordering import export_ordered, with_ordinal
 from airledger.operators.sync import local_marks, sync_delta, watermarks
+from airledger.plans.report import workflow_report as report_of
 from airledger.schemas import (
     DIM_DATE,
     DIM_HOUR,
@@ -33,7 +38,9 @@ from airledger.schemas import (
     TableSpec,
 )
 from airledger.session import Staging, fresh_folder
-from airledger.sinks.release_files import write_csv
+from airledger.sinks.release_files import file_inventory, file_mismatches, write_csv
+from airledger.sinks.warehouse import Warehouse
+from airledger.sources.files import read_job_reports
 from airledger.sources.tables import conform, read_release_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -560,6 +567,54 @@ def sync_apply(spark, sf):
     )
 
 
+# -- order ---------------------------------------------------------------------------------
+
+
+@query
+def export_order(spark, sf):
+    """The place of each daily row in its export."""
+    stage = Staging(spark, "query")
+    return export_ordered(stage, A.daily_fact(spark, sf), FACT_DAILY).select(
+        "district_id", "date_key", "ordinal"
+    )
+
+
+@query
+def read_order(spark, sf):
+    """The place of each row in a daily read, which goes by date before district."""
+    rows = R.daily_range(A.daily_fact(spark, sf), start=date(1996, 3, 1), end=date(1999, 6, 30))
+    ordered = with_ordinal(Staging(spark, "query"), rows, R.DAILY_ORDER, "rows")
+    return ordered.select("district_id", "observed_date", "ordinal")
+
+
+# -- foreign keys --------------------------------------------------------------------------
+
+
+@query
+def foreign_keys(spark, sf):
+    """All seven foreign keys of a warehouse whose dimensions lack rows: every tenth district,
+    the 13th of each month, and all hours from five to six."""
+    star = A.Star(spark, sf)
+    hours = star.hours
+    days = A.daily_fact(spark, sf).select("observed_date").unionByName(
+        hours.select("observed_date")
+    )
+    dates = days.distinct().select(
+        F.date_format("observed_date", "yyyyMMdd").cast("int").alias("date_key")
+    )
+    wall = local_wall_clock(F.col("observed_at"))
+    return foreign_key_orphans(
+        {
+            "dim_district": star.districts.where(F.col("district_id") % 10 != 3),
+            "dim_date": dates.where(F.col("date_key") % 100 != 13),
+            "dim_hour": hours.where(F.hour(wall) != 5),
+            "fact_weather_daily": star.daily(),
+            "fact_weather_hourly": star.hourly(),
+            "fact_aqi_hourly": star.aqi().where(F.col("district_id") % 2 == 1),
+        }
+    )
+
+
 # -- releases ------------------------------------------------------------------------------
 
 
@@ -614,7 +669,7 @@ def _release_listing(spark, sf) -> DataFrame:
     """One file per order and release day, some below malformed folders."""
     stamp = F.date_format("o_orderdate", "yyyyMMdd")
     odd = F.col("o_orderkey") % 10 == 0
-    folder = F.when(odd, stamp).otherwise(F.concat(stamp, F.lit("T181500Z")))
+    folder = F.when(odd, stamp).otherwise(F.concat(stamp, F.lit("T040000Z")))
     return A.source(spark, sf, "orders").select(
         F.concat(
             F.lit("v1/releases/"), folder, F.lit("/analyst/part-"),
@@ -625,7 +680,7 @@ def _release_listing(spark, sf) -> DataFrame:
 
 @query
 def release_retention(spark, sf):
-    return N.deletable_files(_release_listing(spark, sf), "19990101T181500Z")
+    return N.deletable_files(_release_listing(spark, sf), "19990101T040000Z")
 
 
 @query
@@ -636,6 +691,54 @@ def csv_roundtrip(spark, sf):
     return read_release_csv(spark, folder, FACT_DAILY)
 
 
+def _files_per_block(customers: DataFrame, folder: str) -> str:
+    """Customers as text, one file for each block of a hundred numbers."""
+    block = F.floor(F.col("c_custkey") / 100).cast("string")
+    (
+        customers.select(
+            F.concat(F.lit("block-"), block, F.lit(".csv")).alias("table"),
+            "c_custkey",
+            F.concat_ws(",", "c_custkey", "c_name", "c_mktsegment").alias("line"),
+        )
+        .repartition("table")
+        .sortWithinPartitions("table", "c_custkey")
+        .drop("c_custkey")
+        .write.partitionBy("table")
+        .text(folder)
+    )
+    return folder
+
+
+def _block_inventory(spark, customers: DataFrame) -> DataFrame:
+    folder = _files_per_block(customers, fresh_folder(spark, "files"))
+    return file_inventory(spark, folder)
+
+
+@query
+def release_inventory(spark, sf):
+    """Length and SHA-256 of table files, hashed where they lie."""
+    found = _block_inventory(spark, A.source(spark, sf, "customer"))
+    return found.select("name", "format", "length", "sha256")
+
+
+@query
+def release_verify_tampered(spark, sf):
+    """Files found against files recorded: some are altered, some gone, some strange."""
+    customers = A.source(spark, sf, "customer")
+    block = F.floor(F.col("c_custkey") / 100)
+    name = F.when(
+        (block % 5 == 1) & (F.col("c_custkey") % 100 == 7), F.concat("c_name", F.lit("!"))
+    ).otherwise(F.col("c_name"))
+    tampered = customers.withColumn("c_name", name).where(block % 5 != 2)
+    added = customers.where(block % 5 == 3).withColumn("c_custkey", F.col("c_custkey") + 1_000_000_000)
+    one = F.lit("part").alias("file")
+    sides = [
+        _block_inventory(spark, side).withColumn("file", one)
+        for side in (customers, tampered.unionByName(added))
+    ]
+    return file_mismatches(*sides).drop("file")
+
+
 # -- monitoring ----------------------------------------------------------------------------
 
 
@@ -704,6 +807,100 @@ def run_catchup(spark, sf):
     )
 
 
+@query
+def run_types(spark, sf):
+    return M.runs_by_type(_runs(spark, sf, F.lit(RUNS_SINCE)), F.lit(RUNS_SINCE))
+
+
+@query
+def run_catchup_flags(spark, sf):
+    """The catch-up rule under every combination of flags: windows with all runs, with completed
+    runs alone, and without any."""
+    runs = Staging(spark, "query").put(_runs(spark, sf), "runs")
+    windows = {
+        "all": (runs, RUNS_SINCE),
+        "completed": (runs.where("status = 'completed'"), RUNS_SINCE),
+        "none": (runs, datetime(2090, 1, 1, tzinfo=timezone.utc)),
+    }
+    found = [
+        M.catchup_needed(
+            window, F.lit(since), scheduled=scheduled, job_succeeded=succeeded, error=error
+        ).select(
+            F.lit(label).alias("window"),
+            F.lit(scheduled).alias("scheduled"),
+            F.lit(succeeded).alias("job_succeeded"),
+            F.lit(error).alias("error"),
+            "*",
+        )
+        for label, (window, since) in windows.items()
+        for scheduled, succeeded, error in product((True, False), repeat=3)
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
+def _job_report_files(spark, sf) -> str:
+    """One JSON document per day and event type, spread over nested folders, beside documents
+    that aren't job reports."""
+    folder = fresh_folder(spark, "reports")
+    day = F.col("ts").cast("date")
+    zulu = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    jobs = (
+        A.source(spark, sf, "events")
+        .where(F.col("ts") >= F.lit("2024-01-12").cast("timestamp_ntz"))
+        .groupBy(day.alias("day"), F.col("event_type").alias("kind"))
+        .agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("events"))
+        .withColumn("job", F.concat_ws("/", F.col("day").cast("string"), "kind"))
+    )
+    document = [
+        F.when(F.col("kind") != "view", F.col("job")).alias("job_id"),
+        F.when(F.col("events") % 2 == 0, "success").otherwise("failure").alias("status"),
+        F.concat(F.date_format("first", zulu), F.lit("+00:00")).alias("started_at_utc"),
+        F.concat(F.date_format("last", zulu), F.lit("+00:00")).alias("finished_at_utc"),
+        F.col("events").alias("duration_seconds"),
+    ]
+    jobs.select("day", "kind", *document).repartition("day", "kind").write.partitionBy(
+        "day", "kind"
+    ).option("pretty", "true").json(folder)
+    return folder
+
+
+@query
+def job_reports(spark, sf):
+    """Every job report below a folder."""
+    found = read_job_reports(spark, _job_report_files(spark, sf))
+    return found.select("job_id", "status", "started_at_utc", "finished_at_utc", "duration_seconds")
+
+
+@query
+def workflow_report(spark, sf):
+    """The runs since the oldest reported job start, from a warehouse's own records."""
+    return _workflow(spark, sf).runs
+
+
+@query
+def workflow_totals(spark, sf):
+    """Totals of those runs by type, and whether the window has to be caught up."""
+    report = _workflow(spark, sf)
+    return report.types.withColumns(
+        {
+            "needed": report.catchup.select("needed").scalar(),
+            "catchup_date": report.catchup.select("catchup_date").scalar(),
+        }
+    )
+
+
+def _workflow(spark, sf):
+    warehouse = Warehouse(spark, fresh_folder(spark, "warehouse"))
+    none = F.lit(None).cast("string").alias("error_summary")
+    records = _run_records(spark, sf).withColumn("rows_updated", F.lit(0).cast("long"))
+    warehouse.append("etl_runs", records.select("*", none))
+    return report_of(
+        warehouse,
+        datetime(2024, 1, 1, tzinfo=timezone.utc),
+        job_reports=_job_report_files(spark, sf),
+    )
+
+
 @query
 def job_duration(spark, sf):
     timed = _run_records(spark, sf).select(

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from airledger.schemas import LOCAL_ZONE
 
 _DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
+_COMPACT_DATE_SHAPE = r"^\d{8}$"
+_WEEK_DATE_SHAPE = r"^(\d{4})(-?)W(\d{2})(?:\2([1-7]))?$"
 _INSTANT_SHAPE = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
@@ -70,16 +72,32 @@ def start_of_hour(wall: Column) -> Column:
     )
 
 
-def parse_iso_date(text: Column) -> Column:
-    """Strict yyyy-MM-dd; anything else, null included, fails the job."""
-    return F.coalesce(
-        F.when(text.rlike(_DATE_SHAPE), text.try_cast("date")),
-        F.raise_error(F.concat(F.lit("malformed date: "), F.coalesce(text, F.lit("null")))),
+def try_iso_date(text: Column) -> Column:
+    """ISO calendar date (with or without dashes) or week date; null for any other text."""
+    compact = F.when(
+        text.rlike(_COMPACT_DATE_SHAPE),
+        F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2)).try_cast("date"),
+    )
+    usual = F.when(text.rlike(_DATE_SHAPE), text.try_cast("date"))
+    return F.coalesce(usual, compact, _week_date(text))
+
+
+def _week_date(text: Column) -> Column:
+    """Week 1 is the week of 4 January; a year's last week is that of 28 December."""
+    part = [F.regexp_extract(text, _WEEK_DATE_SHAPE, i).try_cast("int") for i in (1, 3, 4)]
+    year, week = part[0], part[1]
+    weekday = F.coalesce(part[2], F.lit(1))
+    monday = F.date_sub(F.make_date(year, F.lit(1), F.lit(4)), F.weekday(F.make_date(year, F.lit(1), F.lit(4))))
+    last = F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
+    return F.when(
+        text.rlike(_WEEK_DATE_SHAPE) & week.between(1, last) & (year > 0),
+        F.date_add(monday, (week - 1) * 7 + weekday - 1),
     )
 
 
-def parse_iso_instant(text: Column, zone: str = LOCAL_ZONE) -> Column:
-    """ISO date-time to instant; text without an offset is wall-clock time in ``zone``.
+def try_iso_instant(text: Column, zone: str = LOCAL_ZONE) -> Column:
+    """ISO date-time to instant, null for any other text; without an offset it is wall-clock
+    time in ``zone``.
 
     Seconds are optional. Feeds send ``yyyy-MM-ddTHH:mm`` almost always, so that shape is
     tried first and needs no pattern matching.
@@ -90,13 +108,9 @@ def parse_iso_instant(text: Column, zone: str = LOCAL_ZONE) -> Column:
     full = F.regexp_replace(full, r"^(.{10})[T ](\d{2}:\d{2})(Z|[+-].*)?$", "$1T$2:00$3")
     full = F.regexp_replace(full, r"([+-]\d{2})(\d{2})$", "$1:$2")
     zoned = F.when(text.rlike(_HAS_OFFSET), full).otherwise(F.concat(full, F.lit(zone)))
-    parsed = F.when(usual, quick.try_cast("timestamp")).when(
+    return F.when(usual, quick.try_cast("timestamp")).when(
         text.rlike(_INSTANT_SHAPE), zoned.try_cast("timestamp")
     )
-    return F.coalesce(
-        parsed,
-        F.raise_error(F.concat(F.lit("malformed time: "), F.coalesce(text, F.lit("null")))),
-    )
 
 
 def display_local(instant: Column, zone: str = LOCAL_ZONE) -> Column:

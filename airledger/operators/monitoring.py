@@ -12,22 +12,32 @@ from airledger.functions.temporal import (
     local_wall_clock,
 )
 
+_FINISHED = 1 << 60
 SCHEDULED_RUN_TYPES = ("incremental-daily", "incremental-hourly", "incremental-aqi-hourly")
 
 
 def latest_run_state(runs: DataFrame, since: Column | None = None) -> DataFrame:
-    """Current state of each run from its appended records: a finished record wins.
+    """Current state of each run from its appended records: a finished record wins, of several
+    the one finished last.
 
     All records of a run carry the same start, so ``since`` is applied to the records: older
-    ones are left out by the scan and not sorted.
+    ones are left out by the scan. The winner is found by numbers alone (its time and a hash of
+    the record), a hash aggregate that combines records before they are shuffled; the record
+    is then looked up by them. Nothing is sorted, and texts are moved once.
     """
     if since is not None:
         runs = recent_runs(runs, since)
-    columns = [c for c in runs.columns if c != "etl_run_id"]
-    finished = F.col("finished_at").isNotNull()
-    order = F.struct(finished, F.coalesce("finished_at", "started_at"))
-    newest = F.max_by(F.struct(*columns), order)
-    return runs.groupBy("etl_run_id").agg(newest.alias("state")).select("etl_run_id", "state.*")
+    finished = F.unix_micros("finished_at")
+    started = F.unix_micros("started_at") if "started_at" in runs.columns else F.lit(0)
+    # Any finish is later than any start.
+    stamp = F.coalesce(finished + F.lit(_FINISHED), started, F.lit(0)).cast("long")
+    marked = runs.withColumns({"_stamp": stamp, "_record": F.xxhash64(*runs.columns)})
+    winners = marked.groupBy("etl_run_id").agg(
+        F.max("_stamp").alias("_stamp"), F.max_by("_record", "_stamp").alias("_record")
+    )
+    found = marked.join(winners, ["etl_run_id", "_stamp", "_record"], "left_semi")
+    # A record that was appended twice is one.
+    return found.select(*runs.columns).distinct()
 
 
 def recent_runs(runs: DataFrame, since: Column) -> DataFrame:
@@ -69,6 +79,19 @@ def run_totals(runs: DataFrame, since: Column) -> DataFrame:
     )
 
 
+def runs_by_type(runs: DataFrame, since: Column) -> DataFrame:
+    """How many runs of a window were of which type, and what they loaded."""
+    return (
+        recent_runs(runs, since)
+        .groupBy("run_type")
+        .agg(
+            F.count(F.lit(1)).alias("runs"),
+            F.coalesce(F.sum("rows_inserted"), F.lit(0)).cast("long").alias("rows_inserted"),
+            F.count_if(F.col("status") != "completed").alias("not_completed"),
+        )
+    )
+
+
 def catchup_needed(
     runs: DataFrame, since: Column, *, scheduled: bool, job_succeeded: bool, error: bool = False
 ) -> DataFrame:

@@ -12,9 +12,11 @@ from airledger.functions.temporal import (
     date_key,
     local_date,
     month_key,
-    parse_iso_date,
-    parse_iso_instant,
+    try_iso_date,
+    try_iso_instant,
 )
+from airledger.operators.merge import latest_per_key
+from airledger.operators.ordering import ORDINAL
 from airledger.schemas import (
     AQI_MEASURES,
     DAILY_MEASURES,
@@ -42,6 +44,10 @@ class Kind:
     def hourly(self) -> bool:
         return self.section == "hourly"
 
+    @property
+    def time(self) -> str:
+        return "observed_at" if self.hourly else "observed_date"
+
     @property
     def document_schema(self) -> str:
         """Series are read as text: one odd element must not null a whole array."""
@@ -56,6 +62,8 @@ HOURLY = Kind("hourly", "hourly", HOURLY_MEASURES, R.HOURLY_RULES, FACT_HOURLY)
 AQI = Kind("aqi-hourly", "hourly", AQI_MEASURES, R.AQI_RULES, FACT_AQI)
 KINDS = {kind.name: kind for kind in (DAILY, HOURLY, AQI)}
 
+_STEP_BITS = 22
+
 
 def _checked(landing: DataFrame, kind: Kind) -> DataFrame:
     """Parse each body once and note why a document cannot be used, if so."""
@@ -77,11 +85,13 @@ def _checked(landing: DataFrame, kind: Kind) -> DataFrame:
 def unpack_documents(
     landing: DataFrame, kind: Kind, *, with_problems: bool = True
 ) -> DataFrame:
-    """One row per (document, district) with the district's series.
+    """One row per (document, district) with the district's series and its times, parsed once.
 
     A lone object counts as an array of one. A document that is not JSON, or whose element
     count differs from its district count, yields one row per district with ``problem`` set
     and no series, or no rows if ``with_problems`` is off; other documents are unaffected.
+    An element with a text that is no time has ``problem`` set too and no times, while the
+    other elements of its document stay usable.
     The choice is made inside the exploded expression, because a filter on ``problem`` would
     be pushed below the parse and repeat it.
     """
@@ -93,39 +103,51 @@ def unpack_documents(
         paired = F.arrays_zip(ids, elements.alias("element"))
     else:
         paired = F.when(fine, F.arrays_zip(ids, F.col("elements").alias("element")))
-    return (
+    carried = ["doc_id", "feed", "start_date", "end_date", "problem", "is_batch", "district_id"]
+    unpacked = (
         _checked(landing, kind)
         .select(
             "doc_id", "feed", "start_date", "end_date", "problem",
             (F.size("district_ids") > 1).alias("is_batch"),
             F.inline(paired).alias("district_id", "element"),
         )
-        .select(
-            "doc_id", "feed", "start_date", "end_date", "problem", "is_batch", "district_id",
-            F.col(f"element.{kind.section}").alias("series"),
-        )
+        .select(*carried, F.col(f"element.{kind.section}").alias("series"))
+    )
+    read = try_iso_instant if kind.hourly else try_iso_date
+    word = "malformed time: " if kind.hourly else "malformed date: "
+    timed = unpacked.withColumn("times", F.transform("series.time", lambda t: read(t)))
+    odd = F.exists("times", lambda t: t.isNull())
+    first = F.get(F.filter("series.time", lambda t: read(t).isNull()), F.lit(0))
+    return timed.withColumns(
+        {
+            "problem": F.when(
+                odd, F.concat(F.lit(word), F.coalesce(first, F.lit("null")))
+            ).otherwise(F.col("problem")),
+            "times": F.when(odd, F.lit(None)).otherwise(F.col("times")),
+        }
     )
 
 
 def unpivot(elements: DataFrame, kind: Kind) -> DataFrame:
-    """Column arrays to rows; the ``time`` array alone decides how many.
+    """Column arrays to rows; the times alone decide how many.
 
     Shorter series are padded with null and longer ones cut. Elements without any time keep
-    one row with ``time_text`` null, so that a district which delivered nothing can be told
-    from one whose document is missing.
+    one row with the time null, so that a district which delivered nothing can be told from
+    one whose document is missing. ``step`` is a row's place in its series.
     """
     empty = F.array().cast("array<string>")
-    names = ("time", *kind.measures)
+    steps = F.greatest(F.coalesce(F.size("times"), F.lit(0)), F.lit(0))
     padded = F.arrays_zip(
-        *[F.coalesce(F.col(f"series.{name}"), empty).alias(name) for name in names]
+        F.sequence(F.lit(1), F.greatest(F.col("steps"), F.lit(1))).alias("step"),
+        F.coalesce("times", F.array()).alias(kind.time),
+        *[F.coalesce(F.col(f"series.{name}"), empty).alias(name) for name in kind.measures],
     )
-    steps = F.greatest(F.coalesce(F.size("series.time"), F.lit(0)), F.lit(0))
     # ``steps`` is taken before exploding, so that no array is carried onto the rows.
     rows = elements.withColumn("steps", steps).select(
-        *[c for c in elements.columns if c != "series"],
+        *[c for c in elements.columns if c not in ("series", "times")],
         "steps",
         F.inline_outer(F.slice(padded, F.lit(1), F.col("steps"))).alias(
-            "time_text", *kind.measures
+            "step", kind.time, *kind.measures
         ),
     )
     typed = [
@@ -139,32 +161,24 @@ def unpivot(elements: DataFrame, kind: Kind) -> DataFrame:
 
 
 def with_keys(rows: DataFrame, kind: Kind) -> DataFrame:
-    """Parse the time text and derive the keys that depend on it."""
-    present = F.col("steps") > 0
+    """Derive the day and the keys that depend on it."""
     if kind.hourly:
-        rows = rows.withColumn(
-            "observed_at", F.when(present, parse_iso_instant(F.col("time_text")))
-        )
         rows = rows.withColumn("observed_date", local_date(F.col("observed_at")))
-    else:
-        rows = rows.withColumn(
-            "observed_date", F.when(present, parse_iso_date(F.col("time_text")))
-        )
     return rows.withColumns(
         {
             "date_key": date_key(F.col("observed_date")),
             "month_key": month_key(F.col("observed_date")),
         }
-    ).drop("time_text")
+    )
 
 
 def observations(rows: DataFrame) -> DataFrame:
     """Leave out the placeholders of elements that delivered nothing."""
-    return rows.where(F.col("steps") > 0).drop("steps")
+    return rows.where(F.col("steps") > 0).drop("steps", "step")
 
 
 def parse_payloads(landing: DataFrame, kind: Kind) -> DataFrame:
-    """Landing rows to keyed observation rows; documents with a problem are left out."""
+    """Landing rows to keyed observation rows; what has a problem is left out."""
     good = unpack_documents(landing, kind, with_problems=False)
     return observations(with_keys(unpivot(good, kind), kind))
 
@@ -176,21 +190,47 @@ def document_problems(landing: DataFrame, kind: Kind) -> DataFrame:
     )
 
 
-def preferred_documents(rows: DataFrame, *, newest_only: bool = False) -> DataFrame:
-    """(district, document) pairs a run reads from.
+def element_problems(rows: DataFrame) -> DataFrame:
+    """(district_id, doc_id, problem) of the unpivoted elements that cannot be used."""
+    return rows.where("problem IS NOT NULL").select("district_id", "doc_id", "problem").distinct()
 
-    For one district and date range a batch document is preferred over a single-district
-    one, which is thereby only a fallback. ``newest_only`` (forecasts) keeps one document
-    per district, the one with the latest start.
+
+def preference() -> list:
+    """Order of documents for one time, the preferred one last.
+
+    A batch goes before a single document, which is thereby only a fallback; then the one made
+    for fewer days, then the one that ends later.
     """
-    good = rows.where(F.col("problem").isNull())
-    offered = good.select("district_id", "start_date", "end_date", "is_batch", "doc_id").distinct()
-    if newest_only:
-        scope = ["district_id"]
-        order = F.struct("start_date", "end_date", "is_batch", "doc_id")
-    else:
-        scope = ["district_id", "start_date", "end_date"]
-        order = F.struct("is_batch", "doc_id")
-    return offered.groupBy(*scope).agg(F.max(order).alias("best")).select(
-        "district_id", F.col("best.doc_id").alias("doc_id")
+    days = F.datediff("end_date", "start_date")
+    return [F.col("is_batch"), days.desc(), F.col("end_date"), F.col("doc_id")]
+
+
+# Order of forecasts: the latest start last.
+NEWEST = ("start_date", "end_date", "is_batch", "doc_id")
+
+
+def usable_documents(rows: DataFrame) -> DataFrame:
+    """(district, document) pairs of unpivoted rows that have no problem."""
+    return (
+        rows.groupBy("district_id", "doc_id", "start_date", "end_date", "is_batch")
+        .agg(F.count("problem").alias("problems"))
+        .where("problems = 0")
+        .drop("problems")
+    )
+
+
+def preferred_rows(rows: DataFrame, documents: DataFrame, kind: Kind) -> DataFrame:
+    """One keyed row for each district and time, from the document with the greatest ordinal.
+
+    So documents may overlap in any way, and a time that the preferred one lacks comes from
+    the next. Of a time that one document repeats, the last row counts. The choice is a hash
+    aggregate over one number per row, combined before it is shuffled.
+    """
+    key = ["district_id", kind.time]
+    place = F.shiftleft(F.col(ORDINAL), _STEP_BITS) + F.col("step")
+    ranked = (
+        rows.where(F.col("steps") > 0)
+        .join(documents.select("district_id", "doc_id", ORDINAL), ["district_id", "doc_id"])
+        .select(*key, *kind.measures, place.alias("_place"))
     )
+    return with_keys(latest_per_key(ranked, key, "_place").drop("_place"), kind)

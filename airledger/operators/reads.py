@@ -13,18 +13,18 @@ from airledger.schemas import TableSpec
 
 DEFAULT_PAGE = 100
 MAX_PAGE = 1000
+DAILY_ORDER = ("observed_date", "district_id")
 
 
 def _month(day: date) -> int:
     return day.year * 100 + day.month
 
 
-def _prune_months(fact: DataFrame, start: date | None, end: date | None) -> DataFrame:
+def _in_months(fact: DataFrame, start: date | None, end: date | None) -> DataFrame:
     """Partition predicate implied by a date range.
 
     A join on the hour dimension cannot prune fact files by itself, so the same bound is
-    also put on the partition column when the table is read with it. The column itself is
-    physical and does not show in results.
+    also put on the partition column when the table is read with it.
     """
     if PARTITION_COLUMN not in fact.columns:
         return fact
@@ -32,7 +32,12 @@ def _prune_months(fact: DataFrame, start: date | None, end: date | None) -> Data
         fact = fact.where(F.col(PARTITION_COLUMN) >= _month(start))
     if end is not None:
         fact = fact.where(F.col(PARTITION_COLUMN) <= _month(end))
-    return fact.drop(PARTITION_COLUMN)
+    return fact
+
+
+def _prune_months(fact: DataFrame, start: date | None, end: date | None) -> DataFrame:
+    """As ``_in_months``; the column itself is physical and does not show in results."""
+    return _in_months(fact, start, end).drop(PARTITION_COLUMN)
 
 
 def _date_filter(
@@ -60,7 +65,7 @@ def daily_range(
     end: date | None = None,
 ) -> DataFrame:
     """Daily rows by date, then district; bounds inclusive and each optional."""
-    return filter_daily(fact, district_id, start, end).orderBy("observed_date", "district_id")
+    return filter_daily(fact, district_id, start, end).orderBy(*DAILY_ORDER)
 
 
 def daily_statistics(
@@ -165,17 +170,20 @@ def export_window(
     end: date | None = None,
     dim_hour: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of a table inside an inclusive date window, in released column order."""
+    """Rows of a table inside an inclusive date window, in released column order; the partition
+    column comes last where the table has one."""
     if (start is None) != (end is None):
         raise ValueError("start and end must be given together")
+    columns = [*spec.columns, *[c for c in table.columns if c == PARTITION_COLUMN]]
     if start is None:
-        return table.select(*spec.columns)
+        return table.select(*columns)
+    pruned = _in_months(table, start, end)
     if spec.date_via_hour:
-        return with_hours(table, dim_hour, start, end).select(*spec.columns)
+        hours = _date_filter(dim_hour, start, end).select("hour_key")
+        return pruned.join(hours, "hour_key").select(*columns)
     if spec.date_column is None:
         raise ValueError(f"{spec.name} does not support date filtering")
-    pruned = _prune_months(table, start, end)
-    return _date_filter(pruned, start, end, spec.date_column).select(*spec.columns)
+    return _date_filter(pruned, start, end, spec.date_column).select(*columns)
 
 
 def star_view(

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airledger.functions.measures import widen
-from airledger.functions.paths import release_id
+from airledger.functions.paths import release_id, table_folder, table_part
 from airledger.operators.merge import PARTITION_COLUMN, fold_delta, replace_delta
 from airledger.schemas import FACT_SPECS, TABLE_SPECS, TableSpec
 from airledger.sources.tables import conform
 
 KEPT_RELEASES = 3
+REFERENCE_SCHEMA = "release_id string, name string, month string"
 
 
 def load_projection(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -30,12 +31,13 @@ def load_projection(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def release_form(table: DataFrame, spec: TableSpec) -> DataFrame:
-    """Warehouse rows in released types."""
+    """Warehouse rows in released types, with the partition column where they have it."""
     return table.select(
         *[
             widen(F.col(f.name), f.dataType, spec.released[f.name].dataType).alias(f.name)
             for f in spec.stored
-        ]
+        ],
+        *[c for c in table.columns if c == PARTITION_COLUMN],
     )
 
 
@@ -52,7 +54,8 @@ def merge_snapshot(
     snapshot merged here has; it is then not shuffled to find out.
     """
     if current is not None and current_unique:
-        return replace_delta(current, delta, spec, schema=spec.released).select(*spec.columns)
+        merged = replace_delta(current, delta, spec, schema=spec.released)
+        return merged.select(*spec.columns, *[c for c in merged.columns if c == PARTITION_COLUMN])
     return fold_delta(current, delta, spec, schema=spec.released)
 
 
@@ -71,6 +74,17 @@ def table_stats(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def month_stats(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Row count and date range as text by month; hourly facts have no date of their own."""
+    dates = [
+        F.lit(None).cast("string").alias(name)
+        if spec.date_column is None
+        else bound(spec.date_column).cast("string").alias(name)
+        for name, bound in (("min_date", F.min), ("max_date", F.max))
+    ]
+    return df.groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("row_count"), *dates)
+
+
 def hour_range_from_dimension(stats: DataFrame) -> DataFrame:
     """Hourly facts have no date of their own: they take the hour dimension's range."""
     via_hour = [s.name for s in TABLE_SPECS if s.date_via_hour]
@@ -181,6 +195,22 @@ def deletable_files(listing: DataFrame, active: str, keep: int = KEPT_RELEASES)
     return _beyond_retention(listing, active, keep)
 
 
+def deletable_folders(
+    listing: DataFrame, active: str, keep: int, referred: DataFrame
+) -> DataFrame:
+    """(release_id, folder) of table folders that retention gives up and no kept release refers
+    to. ``referred`` holds the kept releases' (release_id, name, month)."""
+    files = _beyond_retention(listing, active, keep).select(
+        "release_id", table_folder(F.col("path")).alias("folder"), *table_part(F.col("path"))
+    )
+    return (
+        files.where("folder IS NOT NULL")
+        .distinct()
+        .join(referred, ["release_id", "name", "month"], "left_anti")
+        .select("release_id", "folder")
+    )
+
+
 def deletable_releases(listing: DataFrame, active: str, keep: int = KEPT_RELEASES) -> DataFrame:
     """Ids of the releases that retention gives up."""
     return _beyond_retention(listing, active, keep).select("release_id").distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,20 +14,23 @@ from airledger.functions.temporal import local_yesterday
 from airledger.operators.calendar import CALENDAR_START, build_dim_date
 from airledger.operators.districts import missing_payloads, not_yet_loaded, select_districts
 from airledger.operators.hours import attach_hour_key, distinct_hours, refresh_hours
+from airledger.operators.ordering import ORDINAL, with_ordinal
 from airledger.operators.payload import (
     KINDS,
+    NEWEST,
     Kind,
-    observations,
-    preferred_documents,
+    element_problems,
+    preference,
+    preferred_rows,
     unpack_documents,
     unpivot,
+    usable_documents,
     with_keys,
 )
 from airledger.operators.quality import (
     coordinate_errors,
     count_outcomes,
     error_rows,
-    orphans,
     require_empty,
     valid_rows,
 )
@@ -110,9 +114,8 @@ def run_etl(
 ) -> RunResult:
     """One run over all districts at once, recorded in the monitoring tables.
 
-    A document that cannot be used, or a district without any, is logged and skipped while
-    the others load. A malformed time inside a document fails the run before anything is
-    written.
+    A document that cannot be used, a malformed time included, or a district without any, is
+    logged and skipped while the others load. Districts the warehouse doesn't know are logged.
     """
     mode, kind = split_run_type(run_type)
     start, end = run_dates(run_type, start, end, yesterday)
@@ -149,19 +152,20 @@ def _load(
 ) -> RunResult:
     places = districts.select("district_id", "latitude", "longitude")
     with staging(warehouse.spark, "etl") as stage:
-        elements = unpack_documents(documents, kind).join(places, "district_id")
-        parsed = stage.put(with_keys(unpivot(elements, kind), kind), "parsed")
-        chosen = stage.put(preferred_documents(parsed, newest_only=forecast), "documents")
+        if forecast:
+            parsed, chosen = _newest_forecasts(stage, documents, kind, places)
+        else:
+            parsed = stage.put(_unpivoted(documents, kind, places), "parsed")
+            chosen = with_ordinal(stage, usable_documents(parsed), preference(), "documents")
 
         failed = stage.put(missing_payloads(places, chosen), "failed")
         _log_failed(warehouse, failed, parsed, run_id)
+        _log_documents(warehouse, documents, parsed, run_id)
         failed_districts = failed.count()
 
-        rows = observations(
-            parsed.drop("problem").join(chosen, ["district_id", "doc_id"], "left_semi")
-        )
         if not forecast:
-            rows = rows.where(F.col("observed_date").between(F.lit(start), F.lit(end)))
+            parsed = parsed.where(F.col("observed_date").between(F.lit(start), F.lit(end)))
+        rows = stage.put(preferred_rows(parsed, chosen, kind).join(places, "district_id"), "rows")
         outcome = count_outcomes(rows, kind.rules).first()
         if outcome.rows_skipped:
             table = f"{ANALYST}.{kind.spec.name}"
@@ -180,19 +184,98 @@ def _load(
         )
 
 
-def _store(warehouse: Warehouse, stage: Staging, rows: DataFrame, kind: Kind) -> None:
-    require_empty(
-        orphans(rows, "date_key", warehouse.table(DIM_DATE), "date_key"),
-        f"{kind.spec.name} refers to days missing from {DIM_DATE.name}",
+def _unpivoted(documents: DataFrame, kind: Kind, places: DataFrame) -> DataFrame:
+    elements = unpack_documents(documents, kind).join(
+        places.select("district_id"), "district_id", "left_semi"
     )
+    return with_keys(unpivot(elements, kind), kind)
+
+
+def _newest_forecasts(
+    stage: Staging, documents: DataFrame, kind: Kind, places: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of each district's newest usable forecast, and those documents.
+
+    Documents are ranked by what the landing says of them, without their bodies. One per
+    district is parsed; districts whose document cannot be used step back to the next one, so
+    there are as many rounds as the longest row of unusable documents.
+    """
+    offers = documents.select(
+        "doc_id", "start_date", "end_date",
+        (F.size("district_ids") > 1).alias("is_batch"),
+        F.explode("district_ids").alias("district_id"),
+    ).join(places.select("district_id"), "district_id", "left_semi")
+    offers = stage.put(with_ordinal(stage, offers, NEWEST, "ranked"), "offers")
+    open_offers, parts = offers, []
+    while True:
+        number = len(parts)
+        best = open_offers.groupBy("district_id").agg(F.max(ORDINAL).alias(ORDINAL))
+        best = stage.put(
+            best.join(offers, ["district_id", ORDINAL]).select("district_id", "doc_id", ORDINAL),
+            f"best-{number}",
+        )
+        wanted = documents.join(best.select("doc_id").distinct(), "doc_id", "left_semi")
+        rows = _unpivoted(wanted, kind, places).join(best, ["district_id", "doc_id"])
+        parts.append(stage.put(rows, f"parsed-{number}"))
+        unusable = (
+            parts[-1].where("problem IS NOT NULL")
+            .select("district_id", F.col(ORDINAL).alias("_unusable")).distinct()
+        )
+        open_offers = stage.put(
+            offers.join(unusable, "district_id")
+            .where(F.col(ORDINAL) < F.col("_unusable"))
+            .drop("_unusable"),
+            f"open-{number}",
+        )
+        if open_offers.isEmpty():
+            break
+    parsed = reduce(DataFrame.unionByName, parts)
+    chosen = parsed.where("problem IS NULL").select("district_id", "doc_id", ORDINAL).distinct()
+    return parsed.drop(ORDINAL), chosen
+
+
+def _store(warehouse: Warehouse, stage: Staging, rows: DataFrame, kind: Kind) -> None:
     if kind.hourly:
         hours = stage.put(distinct_hours(rows), "hours")
+        warehouse.require_parents(DIM_HOUR, hours)
         warehouse.write_version(DIM_HOUR, refresh_hours(warehouse.table(DIM_HOUR), hours))
         rows = attach_hour_key(rows, warehouse.table(DIM_HOUR))
     # Stored, because an upsert reads it several times.
     warehouse.upsert(kind.spec, stage.put(load_projection(rows, kind.spec), "delta"))
 
 
+def _log_documents(
+    warehouse: Warehouse, documents: DataFrame, parsed: DataFrame, run_id: int
+) -> None:
+    """Documents that were parsed and cannot be used, and districts nobody knows."""
+    rejected = element_problems(parsed).select(
+        F.lit("document_rejected").alias("event_name"),
+        F.lit("Document cannot be used").alias("message"),
+        F.create_map(
+            F.lit("doc_id"), F.col("doc_id"),
+            F.lit("district_id"), F.col("district_id").cast("string"),
+            F.lit("error"), F.col("problem"),
+        ).alias("context"),
+    )
+    named = documents.select(F.explode("district_ids").alias("district_id")).distinct()
+    unknown = named.join(warehouse.table(DIM_DISTRICT), "district_id", "left_anti").select(
+        F.lit("unknown_district").alias("event_name"),
+        F.lit("Documents name a district that is not in the warehouse").alias("message"),
+        F.create_map(
+            F.lit("district_id"), F.coalesce(F.col("district_id").cast("string"), F.lit("null"))
+        ).alias("context"),
+    )
+    warehouse.append(
+        "etl_logs",
+        rejected.unionByName(unknown).select(
+            F.lit(run_id).alias("etl_run_id"),
+            F.lit("WARNING").alias("level"),
+            "event_name", "message", "context",
+            F.now().alias("created_at"),
+        ),
+    )
+
+
 def _log_failed(
     warehouse: Warehouse, failed: DataFrame, parsed: DataFrame, run_id: int
 ) -> None:

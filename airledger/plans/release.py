@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 from airledger.functions.temporal import local_yesterday
+from airledger.operators.merge import PARTITION_COLUMN
 from airledger.operators.quality import require_empty, require_unique
 from airledger.operators.reads import export_window
 from airledger.operators.snapshot import (
     hour_range_from_dimension,
     merge_snapshot,
+    month_stats,
     publish_range,
     release_form,
     release_problems,
@@ -22,11 +24,11 @@ from airledger.sinks.release_files import (
     build_manifest,
     inventory_totals,
     release_key,
+    row_digest,
     write_csv,
     write_parquet,
 )
 from airledger.sinks.warehouse import Warehouse
-from airledger.sources.tables import read_snapshot
 
 STATS_SCHEMA = "name string, row_count bigint, min_date string, max_date string"
 
@@ -87,18 +89,28 @@ def _build(
     moment = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
     release_id = moment.strftime("%Y%m%dT%H%M%SZ")
     spark = warehouse.spark
+    current = latest[1] if latest else None
     with staging(spark, "release") as stage:
-        measured = side_by_side(
+        built = side_by_side(
             spark,
-            lambda spec: _build_table(warehouse, store, stage, spec, release_id, latest, window),
+            lambda spec: _build_table(warehouse, store, stage, spec, release_id, current, window),
             TABLE_SPECS,
         )
+    measured = [stats for stats, _ in built]
+    months = {stats[0]: held for stats, held in built}
     stats = hour_range_from_dimension(spark.createDataFrame(measured, STATS_SCHEMA))
     require_empty(
         release_problems(stats, window[1] if window else None), "release must not be published"
     )
-    totals = inventory_totals(store.record_inventory(release_id))
-    manifest = build_manifest(release_id, source, moment, stats.collect(), totals.collect())
+    store.record_inventory(release_id)
+    outline = {
+        "release_id": release_id,
+        "tables": {name: {"months": held} for name, held in months.items()},
+    }
+    totals = inventory_totals(store.recorded_files(outline))
+    manifest = build_manifest(
+        release_id, source, moment, stats.collect(), totals.collect(), months
+    )
     store.activate(manifest, moment, latest[0]["release_id"] if latest else None)
     return manifest
 
@@ -109,26 +121,55 @@ def _build_table(
     stage: Staging,
     spec: TableSpec,
     release_id: str,
-    latest: tuple[dict, dict] | None,
+    current: dict | None,
     window: tuple[date, date] | None,
-):
-    """Write one table of a release and return its statistics row."""
+) -> tuple[tuple, dict[str, dict]]:
+    """Write one table of a release; its statistics, and for a fact what release holds which
+    month.
+
+    Of a fact only the months that the window's rows lie in are read, merged and written; the
+    others stay in the releases that hold them.
+    """
     spark = warehouse.spark
     start, end = window if window and not spec.full_refresh else (None, None)
     exported = export_window(
         warehouse.physical(spec), spec, start, end, warehouse.table(DIM_HOUR)
     )
-    delta = stage.put(release_form(exported, spec), spec.name)
+    delta = stage.put(release_form(exported, spec), f"{spec.name}-delta")
     if delta.isEmpty():
         raise ValueError(f"{spec.name} export returned zero rows")
     require_unique(delta, spec.primary_key, spec.name)
-    current = None
-    if latest is not None:
-        entry = latest[1]["tables"][spec.name]
-        current = read_snapshot(spark, store.at(entry["parquet_key"]), spec)
+
+    touched, held = None, {}
+    if spec.partitioned:
+        # At most twelve values a year, whatever the number of rows.
+        found = delta.select(PARTITION_COLUMN).distinct().collect()
+        touched = [str(row[0]) for row in found]
+        if current is not None:
+            held = dict(current["tables"][spec.name].get("months", {}))
+            if not held:
+                raise ValueError(f"{spec.name} was released undivided: bootstrap anew")
+    before = None if current is None else store.snapshot(current, spec, touched)
+    merged = delta if before is None else merge_snapshot(before, delta, spec, current_unique=True)
+    if before is not None:
+        merged = stage.put(merged, spec.name)
+
     parquet = store.at(release_key(release_id, spec.name, "parquet"))
-    merged = merge_snapshot(current, delta, spec, current_unique=True)
     write_parquet(merged, spec, parquet)
-    written = spark.read.schema(spec.released).parquet(parquet)
+    written = spark.read.schema(merged.schema).parquet(parquet)
+    if row_digest(written).first() != row_digest(merged.select(*written.columns)).first():
+        raise RuntimeError(f"{spec.name} was not written as it was merged")
     write_csv(written, spec, store.at(release_key(release_id, spec.name, "csv")))
-    return table_stats(written, spec).first()
+    if not spec.partitioned:
+        return tuple(table_stats(written, spec).first()), {}
+    for row in month_stats(written, spec).collect():
+        held[str(row[PARTITION_COLUMN])] = {
+            "release_id": release_id,
+            "row_count": row.row_count,
+            "min_date": row.min_date,
+            "max_date": row.max_date,
+        }
+    low = [part["min_date"] for part in held.values() if part["min_date"] is not None]
+    high = [part["max_date"] for part in held.values() if part["max_date"] is not None]
+    count = sum(part["row_count"] for part in held.values())
+    return (spec.name, count, min(low, default=None), max(high, default=None)), held

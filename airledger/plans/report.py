@@ -13,6 +13,7 @@ from airledger.operators.monitoring import (
     latest_run_state,
     run_report,
     run_totals,
+    runs_by_type,
     warehouse_snapshot,
 )
 from airledger.schemas import DIM_HOUR, FACT_AQI, FACT_DAILY, FACT_HOURLY
@@ -24,6 +25,7 @@ from airledger.sources.files import read_job_reports
 class WorkflowReport:
     runs: DataFrame
     totals: DataFrame
+    types: DataFrame
     snapshot: DataFrame
     catchup: DataFrame
     jobs: DataFrame | None
@@ -49,6 +51,7 @@ def workflow_report(
     return WorkflowReport(
         runs=run_report(runs, moment),
         totals=run_totals(runs, moment),
+        types=runs_by_type(runs, moment),
         snapshot=warehouse_snapshot(
             warehouse.table(FACT_DAILY),
             warehouse.table(FACT_HOURLY),

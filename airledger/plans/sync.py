@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airledger.functions.temporal import month_key, month_of_date_key
@@ -47,6 +47,14 @@ def sync_warehouses(
     return [_sync_table(source, target, spec, cutoff, full) for spec in TABLE_SPECS]
 
 
+def sync_summary(spark: SparkSession, results: list[SyncResult]) -> DataFrame:
+    """One row per table of a sync."""
+    return spark.createDataFrame(
+        [(r.table, r.rows_read, r.rows_upserted) for r in results],
+        "name string, rows_read bigint, rows_upserted bigint",
+    )
+
+
 def sync_totals(results: list[SyncResult]) -> dict[str, int]:
     return {
         "rows_read": sum(r.rows_read for r in results),

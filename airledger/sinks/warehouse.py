@@ -1,19 +1,24 @@
 """Parquet warehouse: keyed upserts without a table format.
 
 Facts are partitioned by ``month_key`` and upserted by rewriting only the months a delta
-touches. Small dimension tables are written as whole new versions; the newest version whose
+touches. The rewritten months go to a folder of their own, and one small document that says
+which folder holds each month switches all of them at once; a load that stops before leaves
+the old state. Small dimension tables are written as whole new versions; the newest version whose
 write finished (it has a ``_SUCCESS`` marker) is the current one. Monitoring tables are only
 appended to. As in any plain Parquet layout there must be a single writer per table.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airledger.operators.integrity import keys_of, require_parents
 from airledger.operators.merge import (
     PARTITION_COLUMN,
     fold_delta,
@@ -23,11 +28,20 @@ from airledger.operators.merge import (
     require_known_columns,
 )
 from airledger.operators.quality import require_unique
-from airledger.schemas import ANALYST, MONITORING, MONITORING_TABLES, TableSpec
+from airledger.schemas import ANALYST, MONITORING, MONITORING_TABLES, SPECS, TableSpec
 from airledger.session import MAX_RECORDS_PER_FILE
-from airledger.sources.files import child_folders, delete_path, path_exists
+from airledger.sources.files import (
+    child_files,
+    child_folders,
+    delete_path,
+    path_exists,
+    publish_text,
+    read_json_document,
+)
 
 KEPT_VERSIONS = 3
+_LOAD = "load"
+_SWITCH = re.compile(r"_months-(\d{8})\.json")
 
 
 class Warehouse:
@@ -48,25 +62,53 @@ class Warehouse:
             if name.startswith("version=") and path_exists(self.spark, f"{base}/{name}/_SUCCESS")
         ]
 
+    def _switches(self, spec: TableSpec) -> list[int]:
+        found = (_SWITCH.fullmatch(n) for n in child_files(self.spark, self.path(spec)))
+        return sorted(int(m[1]) for m in found if m)
+
+    def _switch_path(self, spec: TableSpec, number: int) -> str:
+        return f"{self.path(spec)}/_months-{number:08d}.json"
+
+    def _months(self, spec: TableSpec, number: int | None = None) -> dict[int, int]:
+        """The load that holds each month, now or after switch ``number``."""
+        if number is None:
+            switches = self._switches(spec)
+            if not switches:
+                return {}
+            number = switches[-1]
+        listed = read_json_document(self.spark, self._switch_path(spec, number))
+        return {int(month): load for month, load in listed.items()}
+
     def exists(self, spec: TableSpec) -> bool:
-        if spec.partitioned:
-            return any(
-                name.startswith(PARTITION_COLUMN)
-                for name in child_folders(self.spark, self.path(spec))
-            )
-        return bool(self._versions(spec))
+        return bool(self._switches(spec) if spec.partitioned else self._versions(spec))
 
     def physical(self, spec: TableSpec) -> DataFrame:
         """Stored columns, with the partition column for partitioned tables."""
-        schema = spec.stored
         if spec.partitioned:
-            schema = T.StructType(
-                [*schema.fields, T.StructField(PARTITION_COLUMN, T.IntegerType())]
-            )
+            return self._physical_months(spec)
         if not self.exists(spec):
+            return self.spark.createDataFrame([], spec.stored)
+        return self.spark.read.schema(spec.stored).parquet(self._versions(spec)[-1])
+
+    def _physical_months(self, spec: TableSpec) -> DataFrame:
+        """The current load of each month; others are left out as partitions."""
+        month = T.StructField(PARTITION_COLUMN, T.IntegerType())
+        schema = T.StructType([*spec.stored.fields, month])
+        months = self._months(spec)
+        if not months:
             return self.spark.createDataFrame([], schema)
-        path = self.path(spec) if spec.partitioned else self._versions(spec)[-1]
-        return self.spark.read.schema(schema).parquet(path)
+        base = self.path(spec)
+        loads = [f"{base}/{_LOAD}={n:08d}" for n in sorted(set(months.values()))]
+        stored = T.StructType([*spec.stored.fields, T.StructField(_LOAD, T.LongType()), month])
+        place = F.col(_LOAD) * 1_000_000 + F.col(PARTITION_COLUMN)
+        current = [load * 1_000_000 + m for m, load in months.items()]
+        return (
+            self.spark.read.schema(stored)
+            .option("basePath", base)
+            .parquet(*loads)
+            .where(place.isin(current))
+            .drop(_LOAD)
+        )
 
     def table(self, spec: TableSpec) -> DataFrame:
         """Logical columns. Partition pruning still works through ``physical``."""
@@ -77,42 +119,80 @@ class Warehouse:
     def upsert(self, spec: TableSpec, delta: DataFrame, *, keep_absent: bool = False) -> None:
         """Replace rows by key and insert new ones.
 
-        Repeated keys inside the delta are an error. ``delta`` is read more than once:
-        hand in a stored or staged frame.
+        Repeated keys inside the delta are an error, and so are references to rows that the
+        parent tables don't have. ``delta`` is read more than once: hand in a stored or staged
+        frame.
         """
         require_known_columns(delta, spec)
         require_unique(delta, spec.primary_key, spec.name)
+        self.require_parents(spec, delta)
         if spec.partitioned:
             self._upsert_months(spec, delta, keep_absent)
         else:
             current = self.physical(spec) if self.exists(spec) else None
             self.write_version(spec, fold_delta(current, delta, spec, keep_absent=keep_absent))
 
+    def require_parents(self, spec: TableSpec, rows: DataFrame) -> None:
+        parents = {parent: self.table(SPECS[parent]) for _, _, parent, _ in keys_of(spec.name)}
+        require_parents(spec.name, rows, parents)
+
     def _upsert_months(self, spec: TableSpec, delta: DataFrame, keep_absent: bool) -> None:
         if PARTITION_COLUMN not in delta.columns:
             raise ValueError(f"{spec.name} delta lacks {PARTITION_COLUMN}")
-        if not self.exists(spec):
-            self._write_months(spec, normalise(delta, spec))
-            return
         # At most twelve values a year, whatever the number of rows.
-        months = [row[0] for row in delta.select(PARTITION_COLUMN).distinct().collect()]
-        current = self.physical(spec).where(F.col(PARTITION_COLUMN).isin(months))
-        self._write_months(spec, replace_delta(current, delta, spec, keep_absent=keep_absent))
+        touched = [row[0] for row in delta.select(PARTITION_COLUMN).distinct().collect()]
+        if not touched:
+            return
+        if self.exists(spec):
+            current = self.physical(spec).where(F.col(PARTITION_COLUMN).isin(touched))
+            rows = replace_delta(current, delta, spec, keep_absent=keep_absent)
+        else:
+            rows = normalise(delta, spec)
+        number = self._next_load(spec)
+        self._write_load(spec, rows, number)
+        months = {**self._months(spec), **dict.fromkeys(touched, number)}
+        self._switch(spec, months, number)
 
-    def _write_months(self, spec: TableSpec, rows: DataFrame) -> None:
-        """Range partitioning splits a large month over many tasks and keeps files sorted."""
-        order = [PARTITION_COLUMN, *spec.primary_key]
+    def _next_load(self, spec: TableSpec) -> int:
+        loads = [
+            int(name.split("=")[1])
+            for name in child_folders(self.spark, self.path(spec))
+            if name.startswith(f"{_LOAD}=")
+        ]
+        return 1 + max([*loads, *self._switches(spec)], default=0)
+
+    def _write_load(self, spec: TableSpec, rows: DataFrame, number: int) -> None:
+        """Rebalancing by month spreads a large month over many tasks and joins small ones,
+        from the sizes of one shuffle: the merge runs once."""
         (
-            rows.repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            rows.hint("rebalance", PARTITION_COLUMN)
+            .sortWithinPartitions(PARTITION_COLUMN, *spec.primary_key)
+            .write.mode("error")
             .option("compression", "zstd")
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
             .partitionBy(PARTITION_COLUMN)
-            .parquet(self.path(spec))
+            .parquet(f"{self.path(spec)}/{_LOAD}={number:08d}")
         )
 
+    def _switch(self, spec: TableSpec, months: dict[int, int], number: int) -> None:
+        """Make ``months`` the current state, then delete what no kept state refers to."""
+        base = self.path(spec)
+        listed = {str(month): load for month, load in sorted(months.items())}
+        publish_text(self.spark, self._switch_path(spec, number), json.dumps(listed))
+        switches = self._switches(spec)
+        kept = switches[-KEPT_VERSIONS:]
+        wanted = {(load, m) for n in kept for m, load in self._months(spec, n).items()}
+        for name in child_folders(self.spark, base):
+            load = int(name.split("=")[1]) if name.startswith(f"{_LOAD}=") else None
+            if load is None or load > number:
+                continue
+            held = child_folders(self.spark, f"{base}/{name}")
+            stale = [m for m in held if (load, int(m.split("=")[1])) not in wanted]
+            for folder in [name] if len(stale) == len(held) else [f"{name}/{m}" for m in stale]:
+                delete_path(self.spark, f"{base}/{folder}")
+        for old in switches[:-KEPT_VERSIONS]:
+            delete_path(self.spark, self._switch_path(spec, old))
+
     def write_version(self, spec: TableSpec, rows: DataFrame) -> None:
         if spec.partitioned:
             raise ValueError(f"{spec.name} is partitioned and has no versions")

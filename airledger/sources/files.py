@@ -15,7 +15,9 @@ MANIFEST_SCHEMA = (
     "schema_version int, release_id string, source string, generated_at_utc string, "
     "generated_at_vietnam string, tables map<string, struct<name: string, row_count: bigint, "
     "parquet_key: string, parquet_bytes: bigint, parquet_sha256: string, csv_key: string, "
-    "csv_bytes: bigint, csv_sha256: string, min_date: string, max_date: string>>"
+    "csv_bytes: bigint, csv_sha256: string, min_date: string, max_date: string, "
+    "months: map<string, struct<release_id: string, row_count: bigint, min_date: string, "
+    "max_date: string>>>>"
 )
 JOB_REPORT_SCHEMA = (
     "job_id string, display_name string, status string, started_at_utc string, "
@@ -46,6 +48,31 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one."""
+    fs, goal = _locate(spark, target)
+    fs.mkdirs(goal.getParent())
+    fs.delete(goal, True)
+    if not fs.rename(_locate(spark, source)[1], goal):
+        raise RuntimeError(f"{source} could not be moved to {target}")
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small document that must not exist yet; readers see all of it or nothing."""
+    fs, target = _locate(spark, path)
+    aside = f"{path}.tmp"
+    write_text(spark, aside, text)
+    if not fs.rename(_locate(spark, aside)[1], target):
+        raise FileExistsError(path)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace one small control document."""
     fs, target = _locate(spark, path)
@@ -79,8 +106,8 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def checksum_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, length, sha256) of every data file below ``root``, hashed on the executors.
+def checksum_files(spark: SparkSession, *roots: str) -> DataFrame:
+    """(path, length, sha256) of every data file below ``roots``, hashed on the executors.
 
     A file is hashed in one piece, so writers bound file size with ``maxRecordsPerFile``.
     """
@@ -88,7 +115,7 @@ def checksum_files(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "part-*")
-        .load(root)
+        .load(list(roots))
         .select("path", "length", F.sha2("content", 256).alias("sha256"))
     )
 

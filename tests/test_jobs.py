@@ -68,7 +68,7 @@ def scheduled_documents(*dates, value=10.0, ids=IDS):
 
 
 def test_run_dates():
-    yesterday = date(2026, 7, 9)
+    yesterday = date(2025, 3, 14)
     assert len(RUN_TYPES) == 9
     assert run_dates("historical-daily", yesterday=yesterday) == (date(2023, 6, 1), yesterday)
     assert run_dates("incremental-hourly", yesterday=yesterday) == (yesterday, yesterday)
@@ -135,16 +135,46 @@ def test_reloading_replaces_whole_rows_in_their_month_only(spark, tmp_path):
     assert set(untouched) <= set(wh.table(FACT_DAILY).inputFiles())
 
 
-def test_repeated_keys_in_one_run_fail_it(spark, tmp_path):
+def test_overlapping_documents_load_in_one_run(spark, tmp_path):
     wh = new_warehouse(spark, tmp_path / "wh")
     overlapping = landing(
-        spark, daily_doc(JAN, 2, [[1.0, 2.0]]), daily_doc(date(2024, 1, 2), 2, [[5.0, 6.0]])
+        spark, daily_doc(JAN, 31, [[1.0] * 31, [2.0] * 31], (1, 2)),
+        daily_doc(date(2024, 1, 2), 1, [[5.0]], (1,)), daily_doc(date(2024, 1, 3), 2, [[6.0] * 2], (3,)),
+        daily_doc(date(2024, 1, 4), 1, [[7.0]], (3,)),
     )
-    with pytest.raises(ValueError, match="duplicate primary keys"):
-        run_etl(wh, overlapping, "historical-daily", start=JAN, end=date(2024, 1, 9))
-    assert wh.table(FACT_DAILY).count() == 0
-    run = wh.monitoring("etl_runs").where("status = 'failed'").first()
-    assert "duplicate primary keys" in run.error_summary
+    got = run_etl(wh, overlapping, "historical-daily", start=JAN, end=date(2024, 1, 9))
+    assert (got.rows_loaded, got.failed_districts) == (20, 0)
+    assert rows(wh.table(FACT_DAILY).where("district_id <> 2"), "district_id", "date_key", "rain_sum") == [
+        *[(1, 20240101 + i, 1.0) for i in range(9)], (3, 20240103, 6.0), (3, 20240104, 7.0),
+    ]
+
+
+def test_malformed_times_are_logged_and_the_rest_loads(spark, tmp_path):
+    wh = new_warehouse(spark, tmp_path / "wh")
+    odd = daily_body([JAN, JAN], rain_sum=[8.0, 9.0])
+    odd["daily"]["time"][1] = "01/02/2024"
+    good = daily_body(days(JAN, 2), rain_sum=[1.0, 2.0])
+    documents = landing(
+        spark, ("two", "archive-daily", [1, 2], JAN, JAN, [good, odd]),
+        ("lone", "archive-daily", [2], JAN, date(2024, 1, 3), good),
+        ("last", "archive-daily", [3], JAN, JAN, odd),
+        ("strange", "archive-daily", [77], JAN, JAN, good),
+    )
+    got = run_etl(wh, documents, "historical-daily", start=JAN, end=date(2024, 1, 9))
+    assert (got.rows_loaded, got.failed_districts) == (4, 1)
+    assert rows(wh.table(FACT_DAILY), "district_id", "rain_sum") == [
+        (1, 1.0), (1, 2.0), (2, 1.0), (2, 2.0),
+    ]
+    logs = wh.monitoring("etl_logs")
+    said = F.element_at("context", "error")
+    rejected = logs.where("event_name = 'document_rejected'")
+    assert rows(rejected, F.element_at("context", "doc_id"), F.element_at("context", "district_id"), said) == [
+        ("last", "3", "malformed date: 01/02/2024"), ("two", "2", "malformed date: 01/02/2024"),
+    ]
+    failed = logs.where("event_name = 'extract_failed'")
+    assert rows(failed, said) == [("malformed date: 01/02/2024",)]
+    unknown = logs.where("event_name = 'unknown_district'")
+    assert rows(unknown, F.element_at("context", "district_id")) == [("77",)]
 
 
 def test_days_outside_the_calendar_fail_the_run(spark, tmp_path):
@@ -170,7 +200,9 @@ def test_hourly_backfill_gets_larger_keys(spark, tmp_path):
         wh.physical(FACT_HOURLY), wh.table(DIM_HOUR), 1, None, date(2024, 1, 31), limit=1000
     )
     assert january.count() == 48 and "month_key" not in january.columns
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = january._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert re.search(r"PartitionFilters: \[[^]]*month_key#\d+ <= 202401", plan)
     wh_fact = wh.table(FACT_HOURLY).join(hours.select("hour_key"), "hour_key")
     fact = wh_fact.groupBy("district_id", "temperature_2m").count()
@@ -209,6 +241,43 @@ def test_forecast_uses_the_newest_document_whatever_the_range(spark, tmp_path):
     ]
 
 
+def test_forecasts_step_back_where_the_newest_cannot_be_used(spark, tmp_path):
+    """Only documents that are needed are parsed, so older unusable ones aren't noticed."""
+    wh = new_warehouse(spark, tmp_path / "wh")
+    feed = "forecast-daily"
+    second, third = date(2024, 2, 2), date(2024, 2, 3)
+    documents = landing(
+        spark, ("old", feed, [1], JAN, JAN, "{"), daily_doc(date(2024, 2, 1), 1, [[1.0]], feed=feed),
+        ("cut", feed, [1], second, second, "{"), ("bad", feed, [1], third, third, {"daily": {"time": ["?"]}}),
+        daily_doc(second, 1, [[2.0], [3.0]], (2, 3), feed=feed), ("new", feed, [3], third, third, "["),
+    )
+    got = run_etl(wh, documents, "forecast-daily", start=JAN, end=JAN)
+    assert (got.rows_loaded, got.failed_districts) == (3, 0)
+    assert rows(wh.table(FACT_DAILY), "district_id", "date_key", "rain_sum") == [
+        (1, 20240201, 1.0), (2, 20240202, 2.0), (3, 20240202, 3.0),
+    ]
+    logs = wh.monitoring("etl_logs").where("event_name = 'document_rejected'")
+    assert rows(logs, F.element_at("context", "doc_id")) == [("bad",), ("cut",), ("new",)]
+
+
+def test_writes_refuse_rows_without_parents(spark, tmp_path):
+    wh = new_warehouse(spark, tmp_path / "wh")
+    fact = spark.createDataFrame(
+        [(1, 20240101, 202401), (40, 20240101, 202401), (40, 20240102, 202401)],
+        "district_id int, date_key int, month_key int",
+    )
+    with pytest.raises(ValueError, match=r"missing from dim_district \(1\).*'district_id', 40, 2"):
+        wh.upsert(FACT_DAILY, fact)
+    hourly = spark.createDataFrame([(1, 7, 202401)], "district_id int, hour_key int, month_key int")
+    for spec in (FACT_HOURLY, FACT_AQI):
+        with pytest.raises(ValueError, match="missing from dim_hour"):
+            wh.upsert(spec, hourly)
+    hours = spark.sql("SELECT 1 AS hour_key, 20990101 AS date_key, DATE'2099-01-01' AS observed_date, now() AS observed_at")
+    with pytest.raises(ValueError, match="missing from dim_date"):
+        wh.upsert(DIM_HOUR, hours)
+    assert wh.table(FACT_DAILY).count() == wh.table(DIM_HOUR).count() == 0
+
+
 def test_district_selection(spark, tmp_path):
     wh = new_warehouse(spark, tmp_path / "wh")
     documents = landing(spark, daily_doc(JAN, 1, [[1.0], [2.0], [3.0]], IDS))
@@ -386,3 +455,59 @@ def test_stream_reads_each_landed_document_once(spark, tmp_path):
     load_new_documents(wh, land, "historical-daily", mark)
     assert rows(wh.table(FACT_DAILY), "district_id", "rain_sum") == [(1, 1.0), (1, 2.0), (2, 5.0)]
     assert wh.monitoring("etl_runs").where("status = 'completed'").count() == 2
+
+
+def test_a_load_that_stops_between_months_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    wh = new_warehouse(spark, tmp_path / "wh")
+
+    def fact(value, *dates):
+        keyed = [(i, int(f"{d:%Y%m%d}"), d, float(value), int(f"{d:%Y%m}")) for d in dates for i in IDS]
+        return spark.createDataFrame(
+            keyed, "district_id int, date_key int, observed_date date, rain_sum float, month_key int"
+        )
+
+    span = (date(2024, 1, 5), date(2024, 2, 5), date(2024, 3, 5))
+    wh.upsert(FACT_DAILY, fact(1.0, *span))
+    # The second month fails while it is written, the first being there already.
+    odd = F.when(F.col("month_key") == 202402, F.raise_error(F.lit("disk gone"))).otherwise(2.0)
+    broken = fact(2.0, *span).withColumn("rain_sum", odd.cast("float"))
+    with pytest.raises(Exception, match="disk gone"):
+        wh._write_load(FACT_DAILY, broken, wh._next_load(FACT_DAILY))
+    # A load that is written but not switched to isn't seen either.
+    with monkeypatch.context() as patch:
+        patch.setattr(wh, "_switch", lambda *a: (_ for _ in ()).throw(RuntimeError("driver gone")))
+        with pytest.raises(RuntimeError, match="driver gone"):
+            wh.upsert(FACT_DAILY, fact(3.0, *span[:2]))
+    assert rows(wh.table(FACT_DAILY).groupBy("rain_sum").count(), "*") == [(1.0, 9)]
+    for value in (4.0, 5.0, 6.0, 7.0):
+        wh.upsert(FACT_DAILY, fact(value, span[1]))
+    got = wh.physical(FACT_DAILY).groupBy("month_key", "rain_sum").count()
+    assert rows(got, "*") == [(202401, 1.0, 3), (202402, 7.0, 3), (202403, 1.0, 3)]
+    # Only what a kept state refers to is still there.
+    base = tmp_path / "wh/analyst/fact_weather_daily"
+    months = sorted(p.relative_to(base).parts for p in base.glob("load=*/month_key=*"))
+    assert len([m for m in months if m[1] == "month_key=202402"]) == 3
+    assert len(months) == 5 and len(list(base.glob("_months-*.json"))) == 3
+
+
+def test_run_state_is_found_without_sorting(spark):
+    from airledger.operators import monitoring as M
+
+    day = datetime(2024, 1, 5, tzinfo=timezone.utc)
+    later = [day + timedelta(minutes=m) for m in range(4)]
+    runs = spark.createDataFrame(
+        [
+            (1, "a", "running", day, None, 0, None), (1, "a", "failed", day, later[1], 0, "x"),
+            (1, "a", "completed", day, later[2], 7, None), (1, "a", "completed", day, later[2], 7, None),
+            (2, "b", "running", later[3], None, 0, None),
+        ],
+        "etl_run_id bigint, run_type string, status string, started_at timestamp, "
+        "finished_at timestamp, rows_inserted bigint, error_summary string",
+    )
+    state = M.latest_run_state(runs)
+    assert state.columns == runs.columns
+    assert rows(state, "etl_run_id", "status", "rows_inserted") == [(1, "completed", 7), (2, "running", 0)]
+    since = F.lit(day)
+    for frame in (state, M.runs_by_type(state, since), M.catchup_needed(state, since, scheduled=True, job_succeeded=True)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -1,5 +1,5 @@
 import json
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from helpers import daily_body, days, hourly_body, landing, rows
@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from airledger.functions.rules import DAILY_RULES, RangeRule
 from airledger.operators import payload as P
 from airledger.operators import quality as Q
+from airledger.operators.ordering import with_ordinal
 from airledger.schemas import AQI_MEASURES
+from airledger.session import staging
 from airledger.sources.landing import read_landing_files
 
 JAN1 = date(2024, 1, 1)
@@ -82,10 +84,19 @@ def test_hourly_times_are_local(spark):
     assert set(AQI_MEASURES) <= set(got.columns)
 
 
-def test_malformed_day_fails_the_run(spark):
-    documents = landing(spark, _doc({"daily": {"time": ["2024-1-1"]}}))
-    with pytest.raises(Exception, match="malformed date"):
-        P.parse_payloads(documents, P.DAILY).collect()
+@pytest.mark.parametrize("odd", ["2024-1-1", None, "2023-02-29", "soon", ""])
+def test_a_malformed_day_spoils_its_element_only(spark, odd):
+    good = daily_body(days(JAN1, 2), rain_sum=[1.0, 2.0])
+    bad = {"daily": {"time": ["2024-01-01", odd, "also bad"], "rain_sum": [7.0, 8.0, 9.0]}}
+    documents = landing(spark, _doc([good, bad], ids=(1, 2)), _doc(good, ids=(3,), name="other"))
+    assert rows(P.parse_payloads(documents, P.DAILY), "district_id", "rain_sum") == [
+        (1, 1.0), (1, 2.0), (3, 1.0), (3, 2.0),
+    ]
+    parsed = P.unpivot(P.unpack_documents(documents, P.DAILY), P.DAILY)
+    shown = "null" if odd is None else odd
+    assert rows(P.element_problems(parsed), "district_id", "doc_id", "problem") == [
+        (2, "d", f"malformed date: {shown}"),
+    ]
 
 
 def test_long_series_stays_linear(spark):
@@ -110,19 +121,40 @@ def test_landing_files(spark, tmp_path):
     assert rows(got, "district_id", "rain_sum") == [(7, 1.0), (7, 2.0), (9, 5.0), (9, 6.0)]
 
 
-def test_batch_document_is_preferred_over_a_single_one(spark):
-    single = daily_body([JAN1], rain_sum=[9.0])
-    batch = [daily_body([JAN1], rain_sum=[1.0]), daily_body([JAN1], rain_sum=[2.0])]
-    documents = landing(
-        spark, _doc(batch, ids=(1, 2), name="a-batch"), _doc(single, ids=(1,), name="z-single"),
-        _doc(single, ids=(3,), name="only"),
+def _preferred(spark, tmp_path, *documents):
+    with staging(spark, "test") as stage:
+        parsed = P.with_keys(P.unpivot(P.unpack_documents(landing(spark, *documents), P.DAILY), P.DAILY), P.DAILY)
+        ranked = with_ordinal(stage, P.usable_documents(parsed), P.preference(), "documents")
+        return rows(P.preferred_rows(parsed, ranked, P.DAILY), "district_id", "date_key", "rain_sum")
+
+
+def test_documents_are_chosen_per_district_and_day(spark, tmp_path):
+    """Batch before single, then fewer days, then the later end; what one lacks comes from the
+    next, and documents with a problem don't count."""
+    three = days(JAN1, 3)
+
+    def doc(name, ids, first, count, *values):
+        bodies = [daily_body(days(first, count), rain_sum=[v] * count) for v in values]
+        return (name, FEED, list(ids), first, first + timedelta(days=count - 1), bodies if len(ids) > 1 else bodies[0])
+
+    spoilt = ("spoilt", FEED, [1, 9], JAN1, JAN1, [{"daily": {"time": ["x"]}}, {"daily": {"time": ["x"]}}])
+    got = _preferred(
+        spark, tmp_path, doc("wide", (1,), JAN1, 3, 1.0), doc("narrow", (1,), three[1], 1, 2.0),
+        doc("late", (2,), three[1], 2, 3.0), doc("early", (2,), JAN1, 2, 4.0),
+        doc("batch", (2, 3), JAN1, 1, 5.0, 6.0), doc("alone", (3,), JAN1, 2, 7.0), spoilt,
     )
-    parsed = P.with_keys(P.unpivot(P.unpack_documents(documents, P.DAILY), P.DAILY), P.DAILY)
-    assert rows(P.preferred_documents(parsed), "district_id", "doc_id") == [
-        (1, "a-batch"), (2, "a-batch"), (3, "only"),
+    assert got == [
+        (1, 20240101, 1.0), (1, 20240102, 2.0), (1, 20240103, 1.0),
+        (2, 20240101, 5.0), (2, 20240102, 3.0), (2, 20240103, 3.0),
+        (3, 20240101, 6.0), (3, 20240102, 7.0),
     ]
 
 
+def test_of_a_time_that_a_document_repeats_the_last_row_counts(spark, tmp_path):
+    body = daily_body([JAN1, JAN1, date(2024, 1, 2), JAN1], rain_sum=[1.0, 2.0, 3.0, 4.0])
+    assert _preferred(spark, tmp_path, _doc(body)) == [(1, 20240101, 4.0), (1, 20240102, 3.0)]
+
+
 # -- range rules ---------------------------------------------------------------------------
 
 

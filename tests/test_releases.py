@@ -23,7 +23,7 @@ from airledger.sinks.release_files import (
     write_csv,
 )
 from airledger.sources.files import read_manifest, set_digest
-from airledger.sources.tables import conform, read_release_csv, read_snapshot
+from airledger.sources.tables import conform, read_release_csv
 
 JAN = date(2024, 1, 1)
 FACTS = ("fact_weather_daily", "fact_weather_hourly", "fact_aqi_hourly")
@@ -176,11 +176,11 @@ def _load(spark, wh, *dates, value=10.0):
 
 
 def _moment(day):
-    return datetime(2024, 2, day, 18, 15, tzinfo=timezone.utc)
+    return datetime(2024, 2, day, 6, 17, tzinfo=timezone.utc)
 
 
 def _table(spark, store, manifest, spec):
-    return read_snapshot(spark, store.at(manifest["tables"][spec.name]["parquet_key"]), spec)
+    return store.snapshot(manifest, spec).select(*spec.columns)
 
 
 def test_release_life_cycle(spark, tmp_path):
@@ -193,10 +193,10 @@ def test_release_life_cycle(spark, tmp_path):
     assert store.read_latest() == (
         {
             "schema_version": 1,
-            "release_id": "20240201T181500Z",
-            "manifest_key": "v1/releases/20240201T181500Z/manifest.json",
-            "published_at_utc": "2024-02-01T18:15:00+00:00",
-            "published_at_vietnam": "2024-02-02T01:15:00+07:00",
+            "release_id": "20240201T061700Z",
+            "manifest_key": "v1/releases/20240201T061700Z/manifest.json",
+            "published_at_utc": "2024-02-01T06:17:00+00:00",
+            "published_at_vietnam": "2024-02-01T13:17:00+07:00",
         },
         first,
     )
@@ -209,7 +209,7 @@ def test_release_life_cycle(spark, tmp_path):
     # The manifest can be read as a table, and single-file digests are plain SHA-256.
     listed = read_manifest(spark, store.at(store.read_latest()[0]["manifest_key"]))
     assert {r.name for r in N.release_summary(listed).collect()} == {s.name for s in TABLE_SPECS}
-    parts = list(Path(store.at(hourly["csv_key"])).glob("part-*"))
+    parts = list(Path(store.at(hourly["csv_key"])).glob("month_key=202401/part-*"))
     if len(parts) == 1:
         assert hashlib.sha256(parts[0].read_bytes()).hexdigest() == hourly["csv_sha256"]
 
@@ -217,7 +217,7 @@ def test_release_life_cycle(spark, tmp_path):
     stored = _table(spark, store, first, FACT_DAILY)
     text = read_release_csv(spark, store.at(f"{CURRENT}/fact_weather_daily.csv"), FACT_DAILY)
     assert rows(text, *FACT_DAILY.columns) == rows(stored, *FACT_DAILY.columns)
-    part = next(Path(store.at(f"{CURRENT}/fact_weather_daily.csv")).glob("part-*"))
+    part = next(Path(store.at(f"{CURRENT}/fact_weather_daily.csv")).glob("month_key=*/part-*"))
     with part.open(encoding="utf-8") as handle:
         assert next(csv.reader(handle)) == FACT_DAILY.columns
 
@@ -225,7 +225,7 @@ def test_release_life_cycle(spark, tmp_path):
     assert publish(wh, store, "test", target=JAN, now=_moment(2)) is None
     with pytest.raises(ValueError, match="zero rows"):
         publish(wh, store, "test", target=date(2024, 1, 2), now=_moment(2))
-    assert store.read_latest()[0]["release_id"] == "20240201T181500Z"
+    assert store.read_latest()[0]["release_id"] == "20240201T061700Z"
     _load(spark, wh, date(2024, 1, 2), value=20.0)
     second = publish(wh, store, "test", target=date(2024, 1, 2), now=_moment(3))
     daily = _table(spark, store, second, FACT_DAILY)
@@ -260,6 +260,76 @@ def test_release_life_cycle(spark, tmp_path):
         store.verify(third)
 
 
+def test_a_release_writes_the_months_it_touches(spark, tmp_path):
+    wh = new_warehouse(spark, tmp_path / "wh", JAN, date(2024, 3, 31))
+    store = ReleaseStore(spark, str(tmp_path / "store"))
+    _load(spark, wh, JAN, date(2024, 2, 3))
+    first = bootstrap(wh, store, "test", now=_moment(1))
+    _load(spark, wh, date(2024, 2, 4), value=20.0)
+    second = publish(wh, store, "test", target=date(2024, 2, 4), now=_moment(2))
+    one, two = first["release_id"], second["release_id"]
+    for name in FACTS:
+        held = second["tables"][name]["months"]
+        assert {m: part["release_id"] for m, part in held.items()} == {"202401": one, "202402": two}
+        for suffix in ("parquet", "csv"):
+            folder = Path(store.at(second["tables"][name][f"{suffix}_key"]))
+            assert [p.name for p in folder.glob("month_key=*")] == ["month_key=202402"]
+    assert second["tables"]["fact_weather_daily"]["row_count"] == 9
+    daily = _table(spark, store, second, FACT_DAILY)
+    assert rows(daily.groupBy("date_key").count(), "*") == [(20240101, 3), (20240203, 3), (20240204, 3)]
+    text = read_release_csv(spark, store.at(f"{CURRENT}/fact_weather_daily.csv"), FACT_DAILY)
+    assert rows(text, *FACT_DAILY.columns) == rows(daily, *FACT_DAILY.columns)
+    store.verify(second)
+    january = store.snapshot(second, FACT_DAILY, ["202401"])
+    assert all(f"/{one}/" in f for f in january.inputFiles())
+
+    # A release beyond retention keeps the months that others refer to, and nothing else.
+    assert store.prune(two, keep=1) == [one]
+    left = tmp_path / f"store/v1/releases/{one}"
+    assert {p.name for p in left.iterdir()} == {"analyst", "inventory"}
+    assert {p.name for p in (left / "analyst").iterdir()} == {f"{n}.{s}" for n in FACTS for s in ("csv", "parquet")}
+    assert {p.name for p in left.glob("analyst/*/month_key=*")} == {"month_key=202401"}
+    store.verify(second)
+    assert store.snapshot(second, FACT_HOURLY).count() == 3 * 72
+    folder = left / "analyst/fact_weather_daily.csv/month_key=202401"
+    part = next(folder.glob("part-*"))
+    part.unlink()
+    (folder / f".{part.name}.crc").unlink()
+    (folder / "part-strange.csv").write_text("x")
+    found = rows(store.findings(second), "name", "format", "problem")
+    assert found == [("fact_weather_daily", "csv", "missing"), ("fact_weather_daily", "csv", "unexpected")]
+
+
+def test_a_refused_activation_leaves_the_current_copies(spark, tmp_path):
+    wh = new_warehouse(spark, tmp_path / "wh", JAN, date(2024, 1, 31))
+    store = ReleaseStore(spark, str(tmp_path / "store"))
+    _load(spark, wh, JAN)
+    manifest = bootstrap(wh, store, "test", now=_moment(1))
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "store/v1/current").rglob("*")}
+    other = {**manifest, "release_id": "20240209T000000Z"}
+    with pytest.raises(RuntimeError, match="another release"):
+        store.activate(other, _moment(2), replaces=None)
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "store/v1/current").rglob("*")}
+    store.verify(manifest)
+
+
+def test_csv_parts_are_in_key_order(spark, tmp_path):
+    table = spark.range(0, 5000, 1, 8).select(
+        (F.col("id") * 7919 % 5000).cast("int").alias("district_id"), F.lit(20240101).alias("date_key")
+    )
+    stored = conform(table, FACT_DAILY.released)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        write_csv(stored, FACT_DAILY, str(tmp_path / "csv"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    ids = []
+    for part in sorted((tmp_path / "csv").glob("part-*")):
+        with part.open(encoding="utf-8") as handle:
+            ids += [int(r["district_id"]) for r in csv.DictReader(handle)]
+    assert ids == list(range(5000))
+
+
 def test_old_releases_are_pruned_after_activation(spark, tmp_path):
     wh = new_warehouse(spark, tmp_path / "wh", JAN, date(2024, 1, 31))
     store = ReleaseStore(spark, str(tmp_path / "store"))
@@ -273,7 +343,7 @@ def test_old_releases_are_pruned_after_activation(spark, tmp_path):
     results, manifest = catch_up(wh, catch_up_documents, JAN, JAN, store=store)
     assert [r.rows_loaded for r in results] == [3, 72, 72]
     left = sorted(p.name for p in (tmp_path / "store/v1/releases").iterdir())
-    assert left == ["20240121T000000Z", "20240201T181500Z", manifest["release_id"]]
+    assert left == ["20240121T000000Z", "20240201T061700Z", manifest["release_id"]]
 
 
 def test_pointer_moves_only_from_the_expected_release(spark, tmp_path):
