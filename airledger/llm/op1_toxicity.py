@@ -133,7 +133,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
-    """A model from at most ``most`` labelled ids; without toxic or clean rows it finds nothing."""
+    """A model from at most ``most`` labelled ids; without toxic or clean rows, or without any word
+    that tells them apart, it finds nothing."""
     rows = staged(training_rows(docs, labels, most), "toxicity")
     one = F.explode(F.array_distinct("features")).alias("word")
     total = rows.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
@@ -157,6 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
         .select("word", "odds")
         .collect()
     )
+    if not evidence:
+        return Model({}, [50.0] * (GRADES - 1))
     number = {r["word"]: i for i, r in enumerate(evidence)}
     strength = np.array([max(0.0, r["odds"]) for r in evidence])
     spark = rows.sparkSession
