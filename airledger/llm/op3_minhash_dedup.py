@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from airledger.llm import hashing as H
 from airledger.llm.blocks import BLOCK_BYTES, Answers, Block, BlockTable
 from airledger.llm.components import components
-from airledger.llm.tables import passing, read, staged, texts
+from airledger.llm.tables import freed_shuffles, passing, read, staged, texts
+from airledger.session import Staging
+from airledger.sources.files import delete_path
 
 SHINGLE = 5
 SKETCH = 128
@@ -119,7 +121,36 @@ def _rows(block: Block, answers: Answers) -> pa.Table:
     return pa.table(rows, _ARROW)
 
 
-def _rare_first(lists: DataFrame, sets: DataFrame) -> DataFrame:
+class _Rounds:
+    """Tables of the rounds; what the next lists replace is deleted as soon as they are stored."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.area = Staging(spark, "rounds")
+        self.number = 0
+        self.stale: list[str] = []
+
+    def put(self, df: DataFrame, name: str, passing_by: bool = False) -> DataFrame:
+        """Store ``df``; ``passing_by`` if only the next lists are made from it."""
+        self.number += 1
+        label = f"{name}-{self.number}"
+        with freed_shuffles(self.area.spark):
+            stored = self.area.put(df, label)
+        if passing_by:
+            self.stale.append(f"{self.area.root}/{label}")
+        return stored
+
+    def put_lists(self, lists: DataFrame) -> DataFrame:
+        done, self.stale = self.stale, []
+        stored = self.put(lists, "lists", passing_by=True)
+        for path in done:
+            delete_path(self.area.spark, path)
+        return stored
+
+    def close(self) -> None:
+        delete_path(self.area.spark, self.area.root)
+
+
+def _rare_first(lists: DataFrame, sets: DataFrame, rounds: _Rounds) -> DataFrame:
     """Lists under single values for the nodes of ``lists``, rare values first.
 
     In any order of values that all sets use, the first common value of two similar sets is
@@ -129,7 +160,7 @@ def _rare_first(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """
     nodes = lists.select("node", "n", "component").distinct()
     values = nodes.select("node").join(sets, "node").select("node", F.explode("members").alias("key"))
-    values = staged(values, "values")
+    values = rounds.put(values, "values", passing_by=True)
     often = values.groupBy("key").agg(F.count("*").alias("often"))
     places = (
         values.join(often, "key")
@@ -139,7 +170,7 @@ def _rare_first(lists: DataFrame, sets: DataFrame) -> DataFrame:
         .where("col.often > 1")
         .select("node", F.col("pos").alias("place"), F.col("col.key").alias("key"))
     )
-    found = staged(places.join(nodes, "node"), "lists")
+    found = rounds.put(places.join(nodes, "node"), "places", passing_by=True)
     least = found.groupBy("key").agg(F.min("n").alias("least"))
     partner = F.greatest(F.col("least"), F.col("n") * PERCENT / 100)
     return (
@@ -204,14 +235,19 @@ def _linked(nodes: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame
     )
     tested = links = None
     now = "runs"
+    rounds = _Rounds(nodes.sparkSession)
     for kind, share, leaders, inside in _rounds():
         if kind != now:
-            lists, now = _rare_first(lists, sets), kind
+            lists, now = _rare_first(lists, sets, rounds), kind
         split = lists.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         split = split.where("x <> y").select("key")
-        lists = staged(lists.join(split, "key"), "lists")
+        lists = rounds.put_lists(lists.join(split, "key"))
         if lists.isEmpty():
-            return components(links) if links is not None else lists.select("node", "component")
+            if links is None:
+                return lists.select("node", "component")
+            linked = components(links)
+            rounds.close()
+            return linked
         asked = lists.where(F.pmod(F.xxhash64("key"), F.lit(share)) == 0)
         bulk = (
             asked.groupBy("key", "component")
@@ -233,7 +269,7 @@ def _linked(nodes: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame
                 F.col("place").alias("at"),
             )
         )
-        first = staged(first, "leaders")
+        first = rounds.put(first, "leaders", passing_by=True)
         # Similar sets share three sevenths of both, and at most what follows a first common value.
         enough = "least(n - place, size - at) * 7 >= (n + size) * 3"
         pairs = (
@@ -244,12 +280,12 @@ def _linked(nodes: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
+        pairs = rounds.put(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         # A leader has met all of its list outside its component and needn't meet it again.
         led = first.select("key", F.col("leader").alias("node"))
         lists = lists.join(led, ["key", "node"], "left_anti")
-        found = staged(_verified(pairs, sets, sketches), "links")
+        found = rounds.put(_verified(pairs, sets, sketches), "links")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             where = components(links).withColumnRenamed("component", "_new")
