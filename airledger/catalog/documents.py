@@ -1,8 +1,8 @@
 """Landing documents assembled from observation rows.
 
-A document covers one district and one month (daily) or one day (hourly); the arrays
-gathered into it are bounded by the calendar, not by the number of source rows. A batch
-holds the districts of one range of ``size`` numbers.
+A document covers one district and one month (daily) or one day (hourly, unless ``monthly``);
+the arrays gathered into it are bounded by the calendar, not by the number of source rows. A
+batch holds the districts of one range of ``size`` numbers.
 """
 
 from __future__ import annotations
@@ -16,35 +16,29 @@ from airledger.operators.payload import Kind
 BATCH_DISTRICTS = 50
 
 
-def _timed(rows: DataFrame, kind: Kind) -> DataFrame:
+def _timed(rows: DataFrame, kind: Kind, monthly: bool) -> DataFrame:
     """Add the time text and the document's date range."""
     if kind.hourly:
         wall = local_wall_clock(F.col("observed_at"))
-        return rows.withColumns(
-            {
-                "time": F.date_format(wall, "yyyy-MM-dd'T'HH:mm"),
-                "start_date": wall.cast("date"),
-                "end_date": wall.cast("date"),
-            }
-        )
-    day = F.col("observed_date")
-    return rows.withColumns(
-        {
-            "time": day.cast("string"),
-            "start_date": F.trunc(day, "month"),
-            "end_date": F.last_day(day),
-        }
-    )
+        day, time = wall.cast("date"), F.date_format(wall, "yyyy-MM-dd'T'HH:mm")
+    else:
+        day = F.col("observed_date")
+        time = day.cast("string")
+    if monthly or not kind.hourly:
+        first, last = F.trunc(day, "month"), F.last_day(day)
+    else:
+        first = last = day
+    return rows.withColumns({"time": time, "start_date": first, "end_date": last})
 
 
 def _stored(rows: DataFrame, kind: Kind) -> list[str]:
     return [m for m in kind.measures if m in rows.columns]
 
 
-def series_per_district(rows: DataFrame, kind: Kind) -> DataFrame:
+def series_per_district(rows: DataFrame, kind: Kind, *, monthly: bool = False) -> DataFrame:
     """(district_id, start_date, end_date, series struct of arrays ordered by time)."""
     measures = _stored(rows, kind)
-    timed = _timed(rows, kind)
+    timed = _timed(rows, kind, monthly)
     steps = F.array_sort(F.collect_list(F.struct("time", *measures)))
     grouped = timed.groupBy("district_id", "start_date", "end_date").agg(steps.alias("steps"))
     arrays = [F.col(f"steps.{name}").alias(name) for name in ("time", *measures)]
@@ -74,11 +68,16 @@ def landing(series: DataFrame, kind: Kind, feed: str) -> DataFrame:
 
 
 def batch_documents(
-    rows: DataFrame, kind: Kind, feed: str, size: int = BATCH_DISTRICTS
+    rows: DataFrame,
+    kind: Kind,
+    feed: str,
+    size: int = BATCH_DISTRICTS,
+    *,
+    monthly: bool = False,
 ) -> DataFrame:
     """One document per date range and batch with an array element for each district."""
     batch = F.floor(F.col("district_id") / size)
-    series = series_per_district(rows, kind).withColumn("batch", batch)
+    series = series_per_district(rows, kind, monthly=monthly).withColumn("batch", batch)
     members = F.array_sort(F.collect_list(F.struct("district_id", "series")))
     grouped = series.groupBy("batch", "start_date", "end_date").agg(members.alias("members"))
     return grouped.select(

@@ -84,11 +84,16 @@ def land_as_files(documents: DataFrame) -> DataFrame:
 
 
 def _loaded(spark: SparkSession, sf: str, kind: P.Kind) -> Warehouse:
-    """A warehouse after the historical run of one kind."""
+    """A warehouse after the historical run of one kind.
+
+    Air quality is landed as files, a month of a few districts each; the others as a table.
+    """
     feed = f"archive-{kind.name}"
     rows = _ROWS[kind.name](spark, sf)
-    if kind.hourly:
-        landing = land_as_files(D.batch_documents(rows, kind, feed, LANDED_BATCH))
+    if kind is P.AQI:
+        landing = land_as_files(D.batch_documents(rows, kind, feed, LANDED_BATCH, monthly=True))
+    elif kind.hourly:
+        landing = land_as_table(D.batch_documents(rows, kind, feed))
     else:
         landing = land_as_table(D.single_documents(rows, kind, feed))
     start, end = _range(spark, sf, kind)

@@ -128,8 +128,12 @@ def aqi_page(spark, sf):
 @query
 def hourly_deep_page(spark, sf):
     star = A.Star(spark, sf)
-    fact = star.stage.put(star.hourly(), "fact")
-    return A.shown(R.deep_page(R.with_hours(fact, star.hours), 300, 9_000))
+    rows = R.with_hours(star.hourly(), star.hours)
+    return A.shown(
+        R.deep_page(
+            rows, 300, 9_000, lambda lo, hi: R.with_hours(star.hourly(lo, hi), star.hours)
+        )
+    )
 
 
 @query

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from airledger.functions.temporal import local_date
 from airledger.operators.merge import PARTITION_COLUMN
 from airledger.schemas import TableSpec
 
@@ -122,16 +124,22 @@ def hourly_range(
         fact = fact.where(F.col("district_id") == district_id)
     rows = with_hours(fact, dim_hour, start, end)
     if by_counts:
-        return deep_page(rows, limit, offset)
+        return deep_page(rows, limit, offset, lambda lo, hi: with_hours(fact, dim_hour, lo, hi))
     return rows.orderBy("observed_at", "district_id").offset(offset).limit(limit)
 
 
-def deep_page(rows: DataFrame, limit: int, offset: int) -> DataFrame:
+def deep_page(
+    rows: DataFrame,
+    limit: int,
+    offset: int,
+    between: Callable[[date, date], DataFrame] | None = None,
+) -> DataFrame:
     """The same page without keeping every skipped row in one place.
 
     Rows are counted per instant; running totals over those counts (one row per hour) show
-    which instants the page touches, and only their rows are ranked. An instant holds at most
-    one row per district.
+    which instants the page touches, as many as it has rows at most. Only their days are read
+    again, through ``between`` if that can prune them, and ranked. An instant holds at most one
+    row per district.
     """
     per_instant = rows.groupBy("observed_at").agg(F.count(F.lit(1)).alias("_n"))
     day = F.floor(F.unix_seconds("observed_at") / 86_400)
@@ -147,15 +155,30 @@ def deep_page(rows: DataFrame, limit: int, offset: int) -> DataFrame:
         per_instant.withColumn("_day", day)
         .withColumn("_b", F.coalesce(F.sum("_n").over(within), F.lit(0)))
         .join(day_start, "_day")
-        .select("observed_at", "_n", (F.col("_a") + F.col("_b")).alias("_skipped"))
+        .withColumn("_skipped", F.col("_a") + F.col("_b"))
         .where(
             (F.col("_skipped") < offset + limit) & (F.col("_skipped") + F.col("_n") > offset)
         )
-        .select("observed_at", "_skipped")
+        .select(
+            F.unix_micros("observed_at").alias("_at"),
+            "_skipped",
+            local_date(F.col("observed_at")).alias("_date"),
+        )
+        .collect()
+    )
+    if not touched:
+        return rows.limit(0)
+    dates = [row["_date"] for row in touched]
+    near = rows if between is None else between(min(dates), max(dates))
+    instants = [row["_at"] for row in touched]
+    near = near.where(F.unix_micros("observed_at").between(min(instants), max(instants)))
+    few = rows.sparkSession.createDataFrame(
+        [(row["_at"], row["_skipped"]) for row in touched], "_at bigint, _skipped bigint"
     )
     position = F.row_number().over(Window.partitionBy("observed_at").orderBy("district_id"))
     return (
-        rows.join(touched, "observed_at")
+        near.withColumn("_at", F.unix_micros("observed_at"))
+        .join(F.broadcast(few), "_at")
         .withColumn("_position", F.col("_skipped") + position)
         .where((F.col("_position") > offset) & (F.col("_position") <= offset + limit))
         .select(*rows.columns)

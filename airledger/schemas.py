@@ -261,18 +261,8 @@ VALIDATION_ERRORS = _fields(
     ("severity", T.StringType()),
     ("created_at", T.TimestampType()),
 )
-# Declared for completeness; nothing writes it.
-API_REQUESTS = _fields(
-    ("endpoint", T.StringType()),
-    ("method", T.StringType()),
-    ("status_code", T.IntegerType()),
-    ("latency_ms", T.DoubleType()),
-    ("request_time", T.TimestampType()),
-    ("context", _CONTEXT),
-)
 MONITORING_TABLES = {
     "etl_runs": ETL_RUNS,
     "etl_logs": ETL_LOGS,
     "validation_errors": VALIDATION_ERRORS,
-    "api_requests": API_REQUESTS,
 }
