@@ -173,8 +173,11 @@ def with_keys(rows: DataFrame, kind: Kind) -> DataFrame:
 
 
 def observations(rows: DataFrame) -> DataFrame:
-    """Leave out the placeholders of elements that delivered nothing."""
-    return rows.where(F.col("steps") > 0).drop("steps", "step")
+    """Leave out the placeholders of elements that delivered nothing.
+
+    A filter on ``steps`` would be pushed below the unpivot and parse the times again.
+    """
+    return rows.where(F.col("step").isNotNull()).drop("steps", "step")
 
 
 def parse_payloads(landing: DataFrame, kind: Kind) -> DataFrame:
