@@ -156,7 +156,9 @@ def _load(
             parsed, chosen = _newest_forecasts(stage, documents, kind, places)
         else:
             parsed = stage.put(_unpivoted(documents, kind, places), "parsed")
-            chosen = with_ordinal(stage, usable_documents(parsed), preference(), "documents")
+            # Stored, because dealing out by ranges reads it twice.
+            usable = stage.put(usable_documents(parsed), "usable")
+            chosen = with_ordinal(stage, usable, preference(), "documents")
 
         failed = stage.put(missing_payloads(places, chosen), "failed")
         _log_failed(warehouse, failed, parsed, run_id)
@@ -185,7 +187,9 @@ def _load(
 
 
 def _unpivoted(documents: DataFrame, kind: Kind, places: DataFrame) -> DataFrame:
-    elements = unpack_documents(documents, kind).join(
+    """Documents are dealt out before they are parsed: a file of them is small, compressed as
+    it is, for what its rows cost."""
+    elements = unpack_documents(documents.repartition("doc_id"), kind).join(
         places.select("district_id"), "district_id", "left_semi"
     )
     return with_keys(unpivot(elements, kind), kind)

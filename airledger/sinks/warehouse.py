@@ -14,7 +14,7 @@ import json
 import re
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from airledger.operators.merge import (
 )
 from airledger.operators.quality import require_unique
 from airledger.schemas import ANALYST, MONITORING, MONITORING_TABLES, SPECS, TableSpec
-from airledger.session import MAX_RECORDS_PER_FILE
+from airledger.session import MAX_RECORDS_PER_FILE, ROWS_PER_PIECE
 from airledger.sources.files import (
     child_files,
     child_folders,
@@ -41,6 +41,7 @@ from airledger.sources.files import (
 
 KEPT_VERSIONS = 3
 _LOAD = "load"
+_PIECE = "_piece"
 _SWITCH = re.compile(r"_months-(\d{8})\.json")
 
 
@@ -139,17 +140,19 @@ class Warehouse:
     def _upsert_months(self, spec: TableSpec, delta: DataFrame, keep_absent: bool) -> None:
         if PARTITION_COLUMN not in delta.columns:
             raise ValueError(f"{spec.name} delta lacks {PARTITION_COLUMN}")
-        # At most twelve values a year, whatever the number of rows.
-        touched = [row[0] for row in delta.select(PARTITION_COLUMN).distinct().collect()]
+        sizes = _rows_by_month(delta)
+        touched = list(sizes)
         if not touched:
             return
         if self.exists(spec):
             current = self.physical(spec).where(F.col(PARTITION_COLUMN).isin(touched))
+            for month, count in _rows_by_month(current).items():
+                sizes[month] += count
             rows = replace_delta(current, delta, spec, keep_absent=keep_absent)
         else:
             rows = normalise(delta, spec)
         number = self._next_load(spec)
-        self._write_load(spec, rows, number)
+        self._write_load(spec, rows, number, sizes)
         months = {**self._months(spec), **dict.fromkeys(touched, number)}
         self._switch(spec, months, number)
 
@@ -161,12 +164,21 @@ class Warehouse:
         ]
         return 1 + max([*loads, *self._switches(spec)], default=0)
 
-    def _write_load(self, spec: TableSpec, rows: DataFrame, number: int) -> None:
-        """Rebalancing by month spreads a large month over many tasks and joins small ones,
-        from the sizes of one shuffle: the merge runs once."""
+    def _write_load(
+        self,
+        spec: TableSpec,
+        rows: DataFrame,
+        number: int,
+        sizes: dict[int, int] | None = None,
+    ) -> None:
+        """Rebalancing by month and piece spreads a large month over many tasks and joins small
+        ones, from the sizes of one shuffle: the merge runs once. ``sizes`` says about
+        how many rows a month has; months not in it are one piece."""
         (
-            rows.hint("rebalance", PARTITION_COLUMN)
+            rows.withColumn(_PIECE, _piece(spec, sizes or {}))
+            .hint("rebalance", PARTITION_COLUMN, _PIECE)
             .sortWithinPartitions(PARTITION_COLUMN, *spec.primary_key)
+            .drop(_PIECE)
             .write.mode("error")
             .option("compression", "zstd")
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -283,5 +295,21 @@ class Warehouse:
         self.append("etl_logs", frame.coalesce(1))
 
 
+def _rows_by_month(rows: DataFrame) -> dict[int, int]:
+    """At most twelve entries a year, whatever the number of rows."""
+    counts = rows.groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)))
+    return {month: count for month, count in counts.collect()}
+
+
+def _piece(spec: TableSpec, sizes: dict[int, int]) -> Column:
+    """The piece of its month that a row is written in: as many as the month's rows need."""
+    pieces = {m: -(-n // ROWS_PER_PIECE) for m, n in sizes.items() if n > ROWS_PER_PIECE}
+    if not pieces:
+        return F.lit(0).cast("long")
+    listed = F.create_map(*[F.lit(x) for pair in pieces.items() for x in pair])
+    number = F.coalesce(F.try_element_at(listed, F.col(PARTITION_COLUMN)), F.lit(1))
+    return F.pmod(F.xxhash64(*spec.primary_key), number.cast("long"))
+
+
 def _moment(now: datetime | None) -> datetime:
     return datetime.now(timezone.utc) if now is None else now
