@@ -155,7 +155,7 @@ def _load(
         if forecast:
             parsed, chosen = _newest_forecasts(stage, documents, kind, places)
         else:
-            parsed = stage.put(_unpivoted(documents, kind, places), "parsed")
+            parsed = stage.put(_unpivoted(_dealt_out(documents), kind, places), "parsed")
             # Stored, because dealing out by ranges reads it twice.
             usable = stage.put(usable_documents(parsed), "usable")
             chosen = with_ordinal(stage, usable, preference(), "documents")
@@ -186,10 +186,14 @@ def _load(
         )
 
 
+def _dealt_out(documents: DataFrame) -> DataFrame:
+    """Documents spread over the tasks that parse them: a landed file is small, compressed as it
+    is, for what its rows cost. Forecasts come from a join and are spread by it."""
+    return documents.repartition("doc_id")
+
+
 def _unpivoted(documents: DataFrame, kind: Kind, places: DataFrame) -> DataFrame:
-    """Documents are dealt out before they are parsed: a file of them is small, compressed as
-    it is, for what its rows cost."""
-    elements = unpack_documents(documents.repartition("doc_id"), kind).join(
+    elements = unpack_documents(documents, kind).join(
         places.select("district_id"), "district_id", "left_semi"
     )
     return with_keys(unpivot(elements, kind), kind)

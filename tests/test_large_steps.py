@@ -7,7 +7,7 @@ from helpers import daily_body, days, landing, new_warehouse
 from pyspark.sql import functions as F
 
 from airledger.operators.payload import DAILY
-from airledger.plans.etl import _unpivoted
+from airledger.plans.etl import _dealt_out, _unpivoted
 from airledger.schemas import FACT_DAILY
 from airledger.sinks import warehouse as W
 
@@ -73,7 +73,8 @@ def test_documents_of_one_file_are_parsed_by_several_tasks(spark, many_partition
         ],
     ).coalesce(1)
     places = F.broadcast(spark.createDataFrame([(1,)], "district_id int"))
-    parsed = _unpivoted(documents, DAILY, places).withColumn("task", F.spark_partition_id())
+    parsed = _unpivoted(_dealt_out(documents), DAILY, places)
+    parsed = parsed.withColumn("task", F.spark_partition_id())
     found = parsed.select("task", "rain_sum").collect()
     assert sorted(r.rain_sum for r in found) == [float(i) for i in range(40)]
     assert len({r.task for r in found}) > 1
