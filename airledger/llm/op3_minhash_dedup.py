@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from airledger.llm import hashing as H
 from airledger.llm.blocks import BLOCK_BYTES, Answers, Block, BlockTable
-from airledger.llm.components import components
+from airledger.llm.components import stars
 from airledger.llm.tables import freed_shuffles, passing, read, staged, texts
 from airledger.session import Staging
 from airledger.sources.files import delete_path
@@ -181,18 +181,17 @@ def _rare_first(lists: DataFrame, sets: DataFrame, rounds: _Rounds) -> DataFrame
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Those of ``pairs (a, b)`` that are similar: by size, by estimate, then by whole sets."""
-    left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    """Those of ``pairs (a, b, ca, cb)`` that are similar: by estimate, then by whole sets."""
+    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     bottom = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, ESTIMATE_VALUES)
     both = F.array_intersect("sa", "sb")
     likely = (
         pairs.join(left, "a")
         .join(right, "b")
-        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
         .withColumn("_bottom", bottom)
         .where(F.size(F.array_intersect("_bottom", both)) >= F.size("_bottom") * LEAST_ESTIMATE)
-        .select("a", "b")
+        .select("a", "b", "ca", "cb")
     )
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
@@ -205,7 +204,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFra
             F.col("_common") * 100
             >= (F.size("ma") + F.size("mb") - F.col("_common")) * PERCENT
         )
-        .select("a", "b")
+        .select("a", "b", "ca", "cb")
     )
 
 
@@ -224,8 +223,44 @@ def _rounds():
         leaders *= 4
 
 
+def _leaders(asked: DataFrame, count: int, inside: bool) -> DataFrame:
+    """``(key, leader, own, size, at)``: members of each open list that call on its others.
+
+    They are the least nodes of the list's largest component, or of those outside it. A list
+    with one component left is closed and has none.
+    """
+    parts = asked.groupBy("key", "component").agg(
+        F.count("*").alias("held"), F.min(F.struct("node", "n", "place")).alias("least")
+    )
+    bulk = (
+        parts.groupBy("key")
+        .agg(
+            F.max_by(F.struct("component", "least"), "held").alias("bulk"),
+            F.count("*").alias("parts"),
+        )
+        .where("parts > 1")
+    )
+    if inside and count == 1:
+        first = bulk.select("key", "bulk.least.*", "bulk.component")
+    else:
+        order = Window.partitionBy("key").orderBy("node")
+        first = (
+            asked.join(bulk.select("key", F.col("bulk.component").alias("bulk")), "key")
+            .where("component = bulk" if inside else "component <> bulk")
+            .withColumn("_rank", F.row_number().over(order))
+            .where(F.col("_rank") <= count)
+        )
+    return first.select(
+        "key",
+        F.col("node").alias("leader"),
+        F.col("component").alias("own"),
+        F.col("n").alias("size"),
+        F.col("place").alias("at"),
+    )
+
+
 def _linked(nodes: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``(node, component)`` of nodes with links."""
+    """``(node, component)`` of all nodes."""
     lists = nodes.select(
         F.explode("runs").alias("key"),
         "node",
@@ -233,65 +268,68 @@ def _linked(nodes: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame
         F.lit(0).alias("place"),
         F.col("node").alias("component"),
     )
-    tested = links = None
+    # Rows of one block may share a list that all others of them have left.
+    often = lists.groupBy("key").count().where("count > 1").select("key")
+    lists = lists.join(often, "key")
+    tested, moves = None, []
     now = "runs"
     rounds = _Rounds(nodes.sparkSession)
+    lists = rounds.put_lists(lists)
     for kind, share, leaders, inside in _rounds():
         if kind != now:
-            lists, now = _rare_first(lists, sets, rounds), kind
-        split = lists.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        split = split.where("x <> y").select("key")
-        lists = rounds.put_lists(lists.join(split, "key"))
-        if lists.isEmpty():
-            if links is None:
-                return lists.select("node", "component")
-            linked = components(links)
-            rounds.close()
-            return linked
+            lists, now = rounds.put_lists(_rare_first(lists, sets, rounds)), kind
         asked = lists.where(F.pmod(F.xxhash64("key"), F.lit(share)) == 0)
-        bulk = (
-            asked.groupBy("key", "component")
-            .count()
-            .groupBy("key")
-            .agg(F.max_by("component", "count").alias("bulk"))
-        )
-        order = Window.partitionBy("key").orderBy("node")
-        first = (
-            asked.join(bulk, "key")
-            .where("component = bulk" if inside else "component <> bulk")
-            .withColumn("_rank", F.row_number().over(order))
-            .where(F.col("_rank") <= leaders)
-            .select(
-                "key",
-                F.col("node").alias("leader"),
-                F.col("component").alias("own"),
-                F.col("n").alias("size"),
-                F.col("place").alias("at"),
-            )
-        )
-        first = rounds.put(first, "leaders", passing_by=True)
+        first = rounds.put(_leaders(asked, leaders, inside), "leaders", passing_by=True)
+        if first.isEmpty():
+            if share > 1:
+                continue
+            break
         # Similar sets share three sevenths of both, and at most what follows a first common value.
         enough = "least(n - place, size - at) * 7 >= (n + size) * 3"
+        alike = f"least(n, size) * 100 >= greatest(n, size) * {PERCENT}"
         pairs = (
             lists.join(first, "key")
-            .where(f"component <> own and {enough}")
-            .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
+            .where(f"component <> own and {enough} and {alike}")
+            .select(
+                F.greatest("node", "leader").alias("a"),
+                F.least("node", "leader").alias("b"),
+                F.greatest("component", "own").alias("ca"),
+                F.least("component", "own").alias("cb"),
+            )
             .distinct()
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = rounds.put(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        # A leader has met all of its list outside its component and needn't meet it again.
+        met = pairs.select("a", "b")
+        tested = met if tested is None else tested.union(met)
+        # A leader has met all of its list outside its component and needn't meet it again. A
+        # list without leaders has one component, and for good.
         led = first.select("key", F.col("leader").alias("node"))
+        if share == 1:
+            lists = lists.join(first.select("key"), "key", "left_semi")
         lists = lists.join(led, ["key", "node"], "left_anti")
         found = rounds.put(_verified(pairs, sets, sketches), "links")
         if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            where = components(links).withColumnRenamed("component", "_new")
-            lists = lists.join(where, "node", "left").select(
-                "key", "node", "n", "place", F.coalesce("_new", "component").alias("component")
-            )
+            # Components, not nodes, are linked: so later rounds have few edges.
+            moves.append(stars(found.select(F.col("ca").alias("a"), F.col("cb").alias("b"))))
+            lists = _moved(lists, moves[-1])
+        lists = rounds.put_lists(lists)
+    linked = nodes.select("node", F.col("node").alias("component"))
+    for moved in moves:
+        linked = _moved(linked, moved)
+    linked = staged(linked, "linked")
+    rounds.close()
+    return linked
+
+
+def _moved(rows: DataFrame, moved: DataFrame) -> DataFrame:
+    """``rows`` whose ``component`` follows ``moved (node, component)``."""
+    now = moved.select(F.col("node").alias("component"), F.col("component").alias("_now"))
+    others = [c for c in rows.columns if c != "component"]
+    return rows.join(now, "component", "left").select(
+        *others, F.coalesce("_now", "component").alias("component")
+    )
 
 
 def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -315,7 +353,7 @@ def near_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     )
     nodes = staged(nodes, "nodes")
     sets = nodes.select("node", "members")
-    sketches = nodes.select("node", "n", F.slice("members", 1, ESTIMATE_VALUES).alias("sketch"))
+    sketches = nodes.select("node", F.slice("members", 1, ESTIMATE_VALUES).alias("sketch"))
     linked = _linked(nodes, sets, sketches)
 
     of_class = staged(
