@@ -39,7 +39,7 @@ def series_per_district(rows: DataFrame, kind: Kind, *, monthly: bool = False) -
     """(district_id, start_date, end_date, series struct of arrays ordered by time)."""
     measures = _stored(rows, kind)
     timed = _timed(rows, kind, monthly)
-    steps = F.array_sort(F.collect_list(F.struct("time", *measures)))
+    steps = F.sort_array(F.collect_list(F.struct("time", *measures)))
     grouped = timed.groupBy("district_id", "start_date", "end_date").agg(steps.alias("steps"))
     arrays = [F.col(f"steps.{name}").alias(name) for name in ("time", *measures)]
     return grouped.select("district_id", "start_date", "end_date", F.struct(*arrays).alias("series"))
@@ -78,7 +78,7 @@ def batch_documents(
     """One document per date range and batch with an array element for each district."""
     batch = F.floor(F.col("district_id") / size)
     series = series_per_district(rows, kind, monthly=monthly).withColumn("batch", batch)
-    members = F.array_sort(F.collect_list(F.struct("district_id", "series")))
+    members = F.sort_array(F.collect_list(F.struct("district_id", "series")))
     grouped = series.groupBy("batch", "start_date", "end_date").agg(members.alias("members"))
     return grouped.select(
         F.concat_ws(

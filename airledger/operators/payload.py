@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -223,17 +224,22 @@ def usable_documents(rows: DataFrame) -> DataFrame:
 
 
 def preferred_rows(rows: DataFrame, documents: DataFrame, kind: Kind) -> DataFrame:
-    """One keyed row for each district and time, from the document with the greatest ordinal.
+    """One keyed row for each district and time, from the document with the greatest ordinal."""
+    ranks = documents.select("district_id", "doc_id", ORDINAL)
+    return ranked_rows(rows.join(ranks, ["district_id", "doc_id"]), kind)
+
+
+def ranked_rows(rows: DataFrame, kind: Kind, carried: Sequence[str] = ()) -> DataFrame:
+    """One keyed row for each district and time of rows that carry their document's ordinal.
 
     So documents may overlap in any way, and a time that the preferred one lacks comes from
     the next. Of a time that one document repeats, the last row counts. The choice is a hash
-    aggregate over one number per row, combined before it is shuffled.
+    aggregate over one number per row, combined before it is shuffled. ``carried`` columns
+    follow from the district.
     """
-    key = ["district_id", kind.time]
+    key = ["district_id", kind.time, *carried]
     place = F.shiftleft(F.col(ORDINAL), _STEP_BITS) + F.col("step")
-    ranked = (
-        rows.where(F.col("steps") > 0)
-        .join(documents.select("district_id", "doc_id", ORDINAL), ["district_id", "doc_id"])
-        .select(*key, *kind.measures, place.alias("_place"))
+    ranked = rows.where((F.col("steps") > 0) & F.col(ORDINAL).isNotNull()).select(
+        *key, *kind.measures, place.alias("_place")
     )
     return with_keys(latest_per_key(ranked, key, "_place").drop("_place"), kind)

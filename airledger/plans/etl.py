@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airledger.functions.temporal import local_yesterday
@@ -21,18 +21,18 @@ from airledger.operators.payload import (
     Kind,
     element_problems,
     preference,
-    preferred_rows,
+    ranked_rows,
     unpack_documents,
     unpivot,
-    usable_documents,
     with_keys,
 )
 from airledger.operators.quality import (
+    VIOLATIONS,
     coordinate_errors,
-    count_outcomes,
+    count_judged,
     error_rows,
+    judged,
     require_empty,
-    valid_rows,
 )
 from airledger.operators.snapshot import load_projection
 from airledger.schemas import ANALYST, DIM_DATE, DIM_DISTRICT, DIM_HOUR
@@ -153,30 +153,34 @@ def _load(
     places = districts.select("district_id", "latitude", "longitude")
     with staging(warehouse.spark, "etl") as stage:
         if forecast:
-            parsed, chosen = _newest_forecasts(stage, documents, kind, places)
+            parsed = _newest_forecasts(stage, documents, kind, places)
+            usable = parsed.where("problem IS NULL")
         else:
-            parsed = stage.put(_unpivoted(_dealt_out(documents), kind, places), "parsed")
-            # Stored, because dealing out by ranges reads it twice.
-            usable = stage.put(usable_documents(parsed), "usable")
-            chosen = with_ordinal(stage, usable, preference(), "documents")
+            ranks = _document_ranks(stage, documents)
+            parsed = stage.put(
+                _unpivoted(_dealt_out(documents), kind, places, ranks), "parsed"
+            )
+            usable = _without_unusable(parsed)
 
-        failed = stage.put(missing_payloads(places, chosen), "failed")
+        failed = stage.put(missing_payloads(places, usable), "failed")
         _log_failed(warehouse, failed, parsed, run_id)
         _log_documents(warehouse, documents, parsed, run_id)
         failed_districts = failed.count()
 
         if not forecast:
-            parsed = parsed.where(F.col("observed_date").between(F.lit(start), F.lit(end)))
-        rows = stage.put(preferred_rows(parsed, chosen, kind).join(places, "district_id"), "rows")
-        outcome = count_outcomes(rows, kind.rules).first()
+            usable = usable.where(F.col("observed_date").between(F.lit(start), F.lit(end)))
+        chosen = ranked_rows(usable, kind, ["latitude", "longitude"])
+        rows = stage.put(judged(chosen, kind.rules), "rows")
+        outcome = count_judged(rows).first()
         if outcome.rows_skipped:
             table = f"{ANALYST}.{kind.spec.name}"
-            errors = error_rows(rows, kind.rules, table).select(
+            rejected = rows.where(F.col(VIOLATIONS) > 0)
+            errors = error_rows(rejected, kind.rules, table).select(
                 F.lit(run_id).alias("etl_run_id"), "*", F.now().alias("created_at")
             )
             warehouse.append("validation_errors", errors)
         if outcome.rows_loaded:
-            _store(warehouse, stage, valid_rows(rows, kind.rules), kind)
+            _store(warehouse, stage, rows.where(F.col(VIOLATIONS) == 0), kind)
         return RunResult(
             run_id,
             outcome.rows_loaded,
@@ -192,17 +196,43 @@ def _dealt_out(documents: DataFrame) -> DataFrame:
     return documents.repartition("doc_id")
 
 
-def _unpivoted(documents: DataFrame, kind: Kind, places: DataFrame) -> DataFrame:
-    elements = unpack_documents(documents, kind).join(
-        places.select("district_id"), "district_id", "left_semi"
+_DOCUMENT = ("doc_id", "start_date", "end_date", "is_batch")
+
+
+def _document_ranks(stage: Staging, documents: DataFrame) -> DataFrame:
+    """Ordinals by preference, from what the landing says of the documents: their bodies, and
+    the districts in them, are not sorted."""
+    listed = documents.select(
+        "doc_id", "start_date", "end_date", (F.size("district_ids") > 1).alias("is_batch")
     )
+    ranked = with_ordinal(stage, listed, preference(), "documents")
+    return ranked.groupBy(*_DOCUMENT).agg(F.max(ORDINAL).alias(ORDINAL))
+
+
+def _unpivoted(
+    documents: DataFrame, kind: Kind, places: DataFrame, ranks: DataFrame | None = None
+) -> DataFrame:
+    """Keyed rows with the columns of their place and, if given, their document's rank."""
+    elements = unpack_documents(documents, kind).join(places, "district_id")
+    if ranks is not None:
+        elements = elements.join(ranks, [*_DOCUMENT], "left")
     return with_keys(unpivot(elements, kind), kind)
 
 
+def _without_unusable(parsed: DataFrame) -> DataFrame:
+    """Rows of (district, document) pairs in which nothing has a problem."""
+    pair = ("district_id", *_DOCUMENT)
+    lost = parsed.where("problem IS NOT NULL").select(
+        *[F.col(c).alias(f"_{c}") for c in pair]
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in pair]
+    return parsed.join(lost.distinct(), reduce(Column.__and__, same), "left_anti")
+
+
 def _newest_forecasts(
     stage: Staging, documents: DataFrame, kind: Kind, places: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of each district's newest usable forecast, and those documents.
+) -> DataFrame:
+    """Rows of each district's newest forecasts up to the usable one, with their ordinals.
 
     Documents are ranked by what the landing says of them, without their bodies. One per
     district is parsed; districts whose document cannot be used step back to the next one, so
@@ -237,9 +267,7 @@ def _newest_forecasts(
         )
         if open_offers.isEmpty():
             break
-    parsed = reduce(DataFrame.unionByName, parts)
-    chosen = parsed.where("problem IS NULL").select("district_id", "doc_id", ORDINAL).distinct()
-    return parsed.drop(ORDINAL), chosen
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _store(warehouse: Warehouse, stage: Staging, rows: DataFrame, kind: Kind) -> None:
@@ -248,8 +276,8 @@ def _store(warehouse: Warehouse, stage: Staging, rows: DataFrame, kind: Kind) ->
         warehouse.require_parents(DIM_HOUR, hours)
         warehouse.write_version(DIM_HOUR, refresh_hours(warehouse.table(DIM_HOUR), hours))
         rows = attach_hour_key(rows, warehouse.table(DIM_HOUR))
-    # Stored, because an upsert reads it several times.
-    warehouse.upsert(kind.spec, stage.put(load_projection(rows, kind.spec), "delta"))
+    # Not stored once more: of the stored rows each step of an upsert reads a few columns.
+    warehouse.upsert(kind.spec, load_projection(rows, kind.spec))
 
 
 def _log_documents(
